@@ -9,6 +9,8 @@ log, so a driver lost during the swap calls for a rerun of the batch.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,16 +69,32 @@ def read_upserted(spark: SparkSession, path: str) -> DataFrame | None:
     return None if table is None else table.drop(BLOCK)
 
 
+def replaced_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The target rows the batch is about to replace."""
+    complete = F.col("device_id").isNotNull() & F.col("entry_id").isNotNull()
+    return target.filter(complete).join(batch.filter(complete).select(*settings.KEYS), list(settings.KEYS), "left_semi")
+
+
+@dataclass(frozen=True)
+class Upserted:
+    """The staged batch, and (if asked for) all dates whose readings changed:
+    those of the batch and those the replaced rows had before."""
+
+    batch: DataFrame
+    dates: DataFrame | None = None
+
+
 def upsert(
     batch: DataFrame,
     path: str,
     block_size: int = settings.KEY_BLOCK_SIZE,
     null_safe: bool = False,
-) -> DataFrame:
+    track_dates: bool = False,
+) -> Upserted:
     """Insert or replace the rows of ``batch``, which holds each key once.
 
-    Creates the table on first use. Returns the staged batch, so that a caller
-    can see what changed without computing it again.
+    Creates the table on first use. The batch is staged first: it is computed
+    once, and it may itself read the table it goes into.
     """
     spark = batch.sparkSession
     target = read_if_exists(spark, path)
@@ -84,11 +102,20 @@ def upsert(
         spark.createDataFrame([(block_size,)], "block_size bigint").coalesce(1).write.mode("overwrite").json(
             _size_path(path)
         )
-        staged = stage(batch.withColumn(BLOCK, key_block(block_size)), "upsert-batch")
-        _write_blocks(staged, path)
-        return staged.drop(BLOCK)
-    size = _block_size(spark, path, block_size)
+        size = block_size
+    else:
+        size = _block_size(spark, path, block_size)
     staged = stage(batch.withColumn(BLOCK, key_block(size)), "upsert-batch")
-    merged = merge_rows(touched_target(target, staged), staged, null_safe=null_safe)
+    touched = None if target is None else touched_target(target, staged)
+    dates = _changed_dates(staged, touched) if track_dates else None
+    merged = staged if touched is None else merge_rows(touched, staged, null_safe=null_safe)
     _write_blocks(merged, path)
-    return staged.drop(BLOCK)
+    return Upserted(staged.drop(BLOCK), dates)
+
+
+def _changed_dates(staged: DataFrame, touched: DataFrame | None) -> DataFrame:
+    times = staged.select("recorded_at")
+    if touched is not None:
+        times = times.unionByName(replaced_rows(touched, staged).select("recorded_at"))
+    # Staged, because the replaced rows are gone after the write.
+    return stage(times.select(F.to_date("recorded_at").alias("date")).distinct(), "changed-dates")

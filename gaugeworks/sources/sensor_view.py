@@ -41,9 +41,93 @@ def _delivery(events: DataFrame, bump: float, lag: str) -> DataFrame:
     )
 
 
+def first_deliveries(events: DataFrame) -> DataFrame:
+    return _delivery(events, 0.0, "1 MINUTE")
+
+
+def second_deliveries(events: DataFrame) -> DataFrame:
+    return _delivery(events.filter(F.col("event_id") % 10 == 0), 1.0, "1 DAY")
+
+
 def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows: all events, plus the re-deliveries."""
     events = read_events(spark, sf_dir)
-    first = _delivery(events, 0.0, "1 MINUTE")
-    again = _delivery(events.filter(F.col("event_id") % 10 == 0), 1.0, "1 DAY")
-    return first.unionByName(again)
+    return first_deliveries(events).unionByName(second_deliveries(events))
+
+
+def feed_payloads(events: DataFrame) -> DataFrame:
+    """A feed payload per event, with a second, older feed that must be ignored.
+
+    Some payloads have no feeds, no entry id, blank or non-numeric fields.
+    """
+
+    def every(n: int) -> Column:
+        return F.col("event_id") % n == 0
+
+    entry = F.when(every(19), "").otherwise(F.concat(F.lit('"entry_id":'), F.col("event_id").cast("string"), F.lit(",")))
+    field1 = F.when(every(7), "N/A").otherwise(F.col("value").cast("string"))
+    field2 = F.when(every(5), " ").otherwise(F.concat(F.lit(" "), F.get_json_object("props", "$.k"), F.lit(" ")))
+    feed = F.concat(
+        F.lit("{"),
+        entry,
+        F.lit('"created_at":"'), F.date_format("ts", ISO_FORMAT),
+        F.lit('","field1":"'), field1,
+        F.lit('","field2":"'), field2,
+        F.lit('","field3":'), F.when(every(3), "null").otherwise(F.col("user_id").cast("string")),
+        F.lit("}"),
+    )
+    older = F.lit(',{"entry_id":1,"created_at":"2000-01-01T00:00:00Z","field1":"0"}')
+    feeds = F.when(every(11), "").otherwise(F.concat(feed, older))
+    channel = F.when(F.col("user_id") % 2 == 0, 9).otherwise(276330)
+    return events.select(
+        channel.alias("channel_id"),
+        F.concat(F.lit('{"channel":{"name":"c"},"feeds":['), feeds, F.lit("]}")).alias("payload"),
+    )
+
+
+def raw_texts(events: DataFrame) -> DataFrame:
+    """A raw JSON text per event; some break the contract in one of several ways."""
+
+    def nth(k: int) -> Column:
+        return F.col("event_id") % 20 == k
+
+    device = F.when(nth(1), "").otherwise(F.concat(F.lit('"device_id":"'), device_name(F.col("user_id")), F.lit('",')))
+    entry = F.col("event_id").cast("string")
+    recorded = F.concat(F.lit('"'), F.date_format("ts", ISO_FORMAT), F.lit('"'))
+    text = F.concat(
+        F.lit("{"),
+        device,
+        F.lit('"entry_id":'), F.when(nth(2), F.concat(F.lit('"'), entry, F.lit('"'))).otherwise(entry),
+        F.lit(',"recorded_at":'), F.when(nth(3), "null").otherwise(recorded),
+        F.lit(',"vibration_rms":'), F.when(nth(4), '"high"').when(nth(5), "null").otherwise(F.col("value").cast("string")),
+        F.when(nth(6), ',"firmware":"v1","batch":7').otherwise(""),
+        F.lit(',"source_channel":'), (F.col("user_id") % 3).cast("string"),
+        F.when(nth(7), "").otherwise("}"),
+    )
+    return events.select(F.col("event_id"), F.when(nth(8), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text).alias("value"))
+
+
+def metric_feed(events: DataFrame) -> DataFrame:
+    """Metric rows as the platform would report them for each event."""
+    none = F.create_map().cast("map<string,string>")
+    per_device = F.create_map(F.lit("DeviceId"), device_name(F.col("user_id")))
+    stages = F.element_at(F.array(F.lit("Bronze"), F.lit("Silver"), F.lit("Gold")), (F.col("event_id") % 3 + 1).cast("int"))
+
+    def metric(name: Column, value: Column, unit: str, dimensions: Column) -> Column:
+        return F.struct(
+            name.alias("metric_name"),
+            value.cast("double").alias("value"),
+            F.lit(unit).alias("unit"),
+            dimensions.alias("dimensions"),
+        )
+
+    rows = F.array_compact(
+        F.array(
+            metric(F.lit("RecordsIngested"), F.lit(1), "Count", per_device),
+            metric(F.concat(stages, F.lit("WriteLatencyMs")), F.col("value") * 10, "Milliseconds", none),
+            metric(F.lit("GetRecords.IteratorAgeMilliseconds"), F.col("value") * 150, "Milliseconds", none),
+            metric(F.lit("GoldTableLastUpdate"), F.unix_seconds("ts"), "None", none),
+            F.when(F.col("event_type") == "error", metric(F.lit("PipelineErrors"), F.lit(1), "Count", per_device)),
+        )
+    )
+    return events.select("ts", F.inline(rows)).select("metric_name", "value", "unit", "dimensions", "ts")

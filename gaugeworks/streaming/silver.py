@@ -27,11 +27,11 @@ def upsert_stream(
     """Clean and upsert what is new, then stop.
 
     A batch that is replayed after a failure replaces its own rows again.
-    ``on_batch`` receives each upserted batch, e.g. to refresh Gold.
+    ``on_batch`` receives what each upsert changed, e.g. to refresh Gold.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        changed = upsert(to_silver(batch), silver, block_size, null_safe)
+        changed = upsert(to_silver(batch), silver, block_size, null_safe, track_dates=on_batch is not None)
         if on_batch is not None:
             on_batch(changed)
 
