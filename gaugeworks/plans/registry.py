@@ -342,7 +342,7 @@ def contract_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.quarantined(checked).select("event_id", "value", F.array_join("violations", ";").alias("violations"))
 
 
-def _raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = view.first_deliveries(view.read_events(spark, sf_dir))
     return first.withColumn("ingested_at", F.date_format("_ingested_at", view.ISO_FORMAT)).select(*READING.names)
 
@@ -350,20 +350,20 @@ def _raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "landing")
-    landing.write_landing(_raw_readings(spark, sf_dir), path, AS_OF)
+    landing.write_landing(raw_readings(spark, sf_dir), path, AS_OF)
     return landing.read_landing(spark, path)
 
 
 @register
 def ordered_handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.ordered_by_device(_raw_readings(spark, sf_dir))
+    return landing.ordered_by_device(raw_readings(spark, sf_dir))
 
 
 @register
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files through the stream; the second run finds nothing new."""
     source, table, checkpoint = (work_path(spark, n) for n in ("landing", "bronze", "checkpoint"))
-    landing.write_landing(_raw_readings(spark, sf_dir), source, AS_OF)
+    landing.write_landing(raw_readings(spark, sf_dir), source, AS_OF)
     for _ in range(2):
         bronze = bronze_stream.to_bronze(bronze_stream.landing_stream(spark, source))
         bronze_stream.write_bronze(bronze, table, checkpoint)
@@ -374,7 +374,7 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of readings into the landing layout."""
     source, path, checkpoint = (work_path(spark, n) for n in ("readings", "landing", "checkpoint"))
-    write_table(_raw_readings(spark, sf_dir), source, "append")
+    write_table(raw_readings(spark, sf_dir), source, "append")
     readings = spark.readStream.schema(READING).parquet(source)
     delivery.deliver(readings, path, checkpoint, bronze_stream.AVAILABLE_NOW)
     return landing.read_landing(spark, path).select(*READING.names)

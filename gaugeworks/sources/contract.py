@@ -26,35 +26,45 @@ CONTRACT = {
 }
 
 
-def _field_violation(parsed: Column, field: str) -> Column:
+def once(value: Column) -> Column:
+    """Evaluates ``value`` once per row, however often its column is used later.
+
+    A plain projection would be merged into each later use; the optimizer does
+    not merge a generator.
+    """
+    return F.explode(F.array(value))
+
+
+def _field_violation(kinds: Column, field: str) -> Column:
     types, required, nullable = CONTRACT[field]
-    value = F.variant_get(parsed, f"$.{field}", "variant")
-    # "DECIMAL(3,2)" -> "DECIMAL"; a JSON null is VOID.
-    kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    kind = F.try_element_at(kinds, F.lit(field))
     accepted = [*types, "VOID"] if nullable else list(types)
-    wrong = F.when(value.isNotNull() & ~kind.isin(accepted), F.lit(f"type:{field}"))
-    if required:
-        return F.when(value.isNull(), F.lit(f"missing:{field}")).otherwise(wrong)
-    return wrong
+    wrong = F.when(~kind.isin(accepted), F.lit(f"type:{field}"))
+    return F.when(kind.isNull(), F.lit(f"missing:{field}")).otherwise(wrong) if required else wrong
 
 
 def check_contract(raw: DataFrame, text: str = "value") -> DataFrame:
     """Adds ``reading`` (variant) and ``violations``, an array that is empty for
     a valid text. Numbers JSON cannot express (NaN, Infinity) are not valid."""
-    parsed = raw.withColumn("reading", F.try_parse_json(text))
+    parsed = raw.select("*", once(F.try_parse_json(text)).alias("reading"))
     is_object = F.schema_of_variant("reading").startswith("OBJECT")
-    keys = F.map_keys(F.when(is_object, F.col("reading")).cast("map<string,variant>"))
+    # "DECIMAL(3,2)" -> "DECIMAL"; a JSON null is VOID.
+    kinds = F.transform_values(
+        F.when(is_object, F.col("reading")).cast("map<string,variant>"),
+        lambda _, value: F.substring_index(F.schema_of_variant(value), "(", 1),
+    )
+    typed = parsed.select("*", once(kinds).alias("_kinds"))
     extra = F.transform(
-        F.array_sort(F.array_except(keys, F.array(*[F.lit(f) for f in CONTRACT]))),
+        F.sort_array(F.array_except(F.map_keys("_kinds"), F.array(*[F.lit(f) for f in CONTRACT]))),
         lambda key: F.concat(F.lit("extra:"), key),
     )
-    fields = F.array_compact(F.array(*[_field_violation(F.col("reading"), f) for f in CONTRACT]))
+    fields = F.array_compact(F.array(*[_field_violation(F.col("_kinds"), f) for f in CONTRACT]))
     violations = (
         F.when(F.col("reading").isNull(), F.array(F.lit("not_json")))
-        .when(~is_object, F.array(F.lit("not_an_object")))
+        .when(F.col("_kinds").isNull(), F.array(F.lit("not_an_object")))
         .otherwise(F.concat(fields, extra))
     )
-    return parsed.withColumn("violations", violations)
+    return typed.select("*", once(violations).alias("violations")).drop("_kinds")
 
 
 def valid_readings(checked: DataFrame, *keep: str) -> DataFrame:

@@ -25,8 +25,8 @@ def parse_feeds(payloads: DataFrame, channels: DataFrame, now=None) -> DataFrame
     Only the first feed counts. A payload without feeds gives no reading; a feed
     without an entry id gets 0; blank or non-numeric fields become null.
     """
-    feed = F.get(F.from_json("payload", PAYLOAD)["feeds"], F.lit(0))
-    first = payloads.select("channel_id", feed.alias("feed")).filter(F.col("feed").isNotNull())
+    feeds = F.from_json("payload", PAYLOAD)["feeds"]
+    first = payloads.select("channel_id", F.explode(F.slice(feeds, 1, 1)).alias("feed"))
     entry_id = F.when(F.col("feed.entry_id").isNull(), F.lit(0)).otherwise(F.col("feed.entry_id").try_cast("bigint"))
     ingested_at = F.date_format(scalars.moment(now), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     return join_dimension(first, channels, ["channel_id"]).select(
