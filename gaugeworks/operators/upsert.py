@@ -26,7 +26,8 @@ ORDER = (BLOCK, "device_id", "entry_id")
 
 def key_block(size: int) -> Column:
     """Block of an entry id; ids that are null share one block."""
-    return F.coalesce(F.floor(F.col("entry_id") / F.lit(size)), F.lit(NO_BLOCK)).cast("bigint")
+    # Integer arithmetic: large ids are not exact as doubles.
+    return F.expr(f"coalesce((entry_id - pmod(entry_id, {size}L)) div {size}L, {NO_BLOCK}L)")
 
 
 def _size_path(path: str) -> str:

@@ -64,6 +64,9 @@ def at_risk_devices(daily: DataFrame, as_of=None, days: int = settings.AT_RISK_D
 
 def vibration_trend(hourly: DataFrame, as_of=None, hours: int = settings.TREND_HOURS) -> DataFrame:
     since = F.timestamp_add("HOUR", F.lit(-hours), scalars.moment(as_of))
+    if settings.HOURLY_PARTITION in hourly.columns:
+        # The stored table is partitioned by date; this prunes the folders.
+        hourly = hourly.filter(F.col(settings.HOURLY_PARTITION) >= F.to_date(since))
     return (
         hourly.filter((F.col("window_start") >= since) & F.col("device_id").isNotNull())
         .select(

@@ -11,19 +11,15 @@ from gaugeworks import settings
 from gaugeworks.operators.rollups import daily_from_parts, hour_parts, hourly_from_parts, sentinel_to_null
 from gaugeworks.operators.scoring import score_daily
 from gaugeworks.session import stage
-from gaugeworks.sources.tables import read_if_exists, read_table, write_table
+from gaugeworks.sources.tables import read_if_exists, write_table
 
 # The hourly table is partitioned by the date of the window; one folder per
 # window would mean one folder per hour.
-HOURLY_PARTITION = "_window_date"
+HOURLY_PARTITION = settings.HOURLY_PARTITION
 DAILY_PARTITION = "date"
 SCORE_COLUMNS = ("vibration_zscore", "is_at_risk")
 
 
-def read_hourly(spark: SparkSession, ref: str) -> DataFrame:
-    return read_table(spark, ref).drop(HOURLY_PARTITION)
-
-
 def write_hourly(hourly: DataFrame, ref: str) -> None:
     dated = hourly.withColumn(HOURLY_PARTITION, F.to_date("window_start"))
     write_table(dated, ref, "overwrite_partitions", (HOURLY_PARTITION,))

@@ -164,7 +164,7 @@ def run_gold(
         compact(spark, where.hourly, gold.HOURLY_PARTITION, "window_start", "device_id")
         compact(spark, where.daily, gold.DAILY_PARTITION, "device_id")
     daily = read_table(spark, where.daily)
-    _report_count(gold.read_hourly(spark, where.hourly), "GoldHourlyRowCount", where)
+    _report_count(read_table(spark, where.hourly), "GoldHourlyRowCount", where)
     _report_count(daily, "GoldDailyRowCount", where)
     metrics.publish(metrics.risk_metrics(daily), where.metrics)
     _report_latency(spark, "Gold", started, where)
@@ -187,7 +187,7 @@ def run_metrics(spark: SparkSession, where: Locations, as_of=None) -> DataFrame:
     rows = metrics.snapshot(
         read_table(spark, where.bronze),
         read_upserted(spark, where.silver),
-        gold.read_hourly(spark, where.hourly),
+        read_table(spark, where.hourly),
         read_table(spark, where.daily),
         as_of,
     )

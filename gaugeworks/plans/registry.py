@@ -397,5 +397,5 @@ def compact_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "hourly")
     gold.write_hourly(_hourly(spark, sf_dir), path)
     layout.compact(spark, path, gold.HOURLY_PARTITION, "window_start", "device_id")
-    return gold.read_hourly(spark, path).drop("_computed_at")
+    return read_table(spark, path).drop("_computed_at", gold.HOURLY_PARTITION)
 

@@ -34,3 +34,5 @@ BROADCAST_MAX_ROWS = 100_000
 PRUNE_MAX_VALUES = 2_000
 # Entry ids per Silver key block.
 KEY_BLOCK_SIZE = 10_000
+# Partition column of the hourly table: the date of the window.
+HOURLY_PARTITION = "_window_date"
