@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gaugeworks.functions import scalars
 from gaugeworks.sources.schemas import READING
@@ -34,8 +34,8 @@ def write_landing(readings: DataFrame, path: str, now=None, rows_per_file: int =
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """Scan with the fixed schema. Filters on the folder parts prune folders."""
-    parts = ", ".join(f"{part} string" for part in PARTS)
-    return spark.read.schema(f"{READING.toDDL()}, {parts}").json(path)
+    parts = [StructField(part, StringType()) for part in PARTS]
+    return spark.read.schema(StructType(READING.fields + parts)).json(path)
 
 
 def ordered_by_device(readings: DataFrame) -> DataFrame:

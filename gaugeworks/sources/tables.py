@@ -5,6 +5,8 @@ A reference with a slash is a Parquet folder; without one it is a catalog table.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,18 @@ def write_table(df: DataFrame, ref: str, mode: str = "append", partition_cols: t
         writer.format("parquet").saveAsTable(ref)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """insertInto takes this mode from the session only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _overwrite_partitions(df: DataFrame, ref: str, partition_cols: tuple[str, ...]) -> None:
     if not partition_cols:
         raise ValueError("overwrite_partitions needs partition columns")
@@ -61,7 +75,8 @@ def _overwrite_partitions(df: DataFrame, ref: str, partition_cols: tuple[str, ..
     elif spark.catalog.tableExists(ref):
         # saveAsTable would drop the other partitions; insertInto goes by position.
         columns = spark.table(ref).columns
-        spread.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(ref, overwrite=True)
+        with _dynamic_overwrite(spark):
+            spread.select(*columns).write.insertInto(ref, overwrite=True)
     else:
         spread.write.partitionBy(*partition_cols).format("parquet").saveAsTable(ref)
 

@@ -1,0 +1,203 @@
+import json
+import math
+import os
+
+import pytest
+from conftest import at
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from gaugeworks.functions import scalars
+from gaugeworks.sources import contract, feeds, landing, tables
+from gaugeworks.sources.schemas import READING
+
+
+def payload(*feed_rows):
+    return json.dumps({"channel": {"id": 9, "name": "n"}, "feeds": list(feed_rows)})
+
+
+def parsed(spark, channel, text, channels=None):
+    df = spark.createDataFrame([(channel, text)], "channel_id int, payload string")
+    return feeds.parse_feeds(df, feeds.channel_dimension(spark, channels)).orderBy("device_id").collect()
+
+
+FULL = {"entry_id": 42, "created_at": "2024-01-15T14:30:00Z", "field1": "3.14", "field2": "22.5", "field3": "1.013"}
+
+
+def test_feed_fields(spark):
+    (row,) = parsed(spark, 276330, payload(FULL, {**FULL, "entry_id": 41}))
+    assert row.asDict().keys() == set(READING.names)
+    assert tuple(row)[:7] == ("device-002", 42, "2024-01-15T14:30:00Z", 3.14, 22.5, 1.013, 276330)
+
+
+def test_one_channel_feeds_two_devices(spark):
+    assert [r["device_id"] for r in parsed(spark, 9, payload(FULL))] == ["device-001", "device-003"]
+
+
+def test_no_feeds_no_reading(spark):
+    assert parsed(spark, 9, payload()) == []
+    assert parsed(spark, 9, "{}") == []
+    assert parsed(spark, 9, "broken") == []
+
+
+def test_blank_and_bad_fields(spark):
+    (row,) = parsed(spark, 276330, payload({"entry_id": 1, "created_at": "t", "field1": "", "field2": "N/A", "field3": None}))
+    assert tuple(row)[3:6] == (None, None, None)
+
+
+def test_feed_defaults(spark):
+    (row,) = parsed(spark, 276330, payload({"field1": 2}))
+    assert (row["entry_id"], row["recorded_at"], row["vibration_rms"]) == (0, "", 2.0)
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("3.14", 3.14), (" 5 ", 5.0), ("\t7\n", 7.0), ("1e3", 1000.0), (".5", 0.5), ("5.", 5.0), ("-2", -2.0),
+        ("1_000", 1000.0), ("inf", math.inf), ("-Infinity", -math.inf), ("1.5f", None), ("0x1p3", None),
+        ("_1", None), ("1__0", None), ("", None), ("  ", None), (None, None), ("N/A", None), ("1 2", None),
+    ],
+)
+def test_number_parsing(spark, text, value):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(scalars.parse_number(F.col("t"))).first()[0] == value
+
+
+def test_nan_parsing(spark):
+    df = spark.createDataFrame([("nan",)], "t string")
+    assert math.isnan(df.select(scalars.parse_number(F.col("t"))).first()[0])
+
+
+def test_channels(spark):
+    assert [tuple(r) for r in feeds.channel_dimension(spark).collect()] == [
+        (9, "device-001", "temperature_sensor_01"),
+        (276330, "device-002", "vibration_sensor_01"),
+        (9, "device-003", "pressure_sensor_01"),
+    ]
+    custom = feeds.channel_dimension(spark, [(123, "d"), (5, "e", "named")]).collect()
+    assert [tuple(r) for r in custom] == [(123, "d", "channel_123"), (5, "e", "named")]
+
+
+GOOD = {
+    "device_id": "d1", "entry_id": 1, "recorded_at": "2024-01-15T14:30:00Z", "vibration_rms": 1.5,
+    "temperature_celsius": 20, "pressure_bar": None, "source_channel": 9, "ingested_at": "2024-01-15T14:31:00Z",
+}
+
+
+def violations(spark, text):
+    df = contract.check_contract(spark.createDataFrame([(text,)], "value string"))
+    return df.first()["violations"]
+
+
+def test_contract_accepts(spark):
+    assert violations(spark, json.dumps(GOOD)) == []
+    assert violations(spark, json.dumps({k: GOOD[k] for k in ("device_id", "entry_id", "recorded_at")})) == []
+
+
+@pytest.mark.parametrize(
+    ("change", "expected"),
+    [
+        ({"device_id": None}, ["type:device_id"]),
+        ({"entry_id": "1"}, ["type:entry_id"]),
+        ({"entry_id": 1.5}, ["type:entry_id"]),
+        ({"vibration_rms": "3.14"}, ["type:vibration_rms"]),
+        ({"source_channel": None}, ["type:source_channel"]),
+        ({"zeta": 1, "alpha": 2}, ["extra:alpha", "extra:zeta"]),
+        ({"vibration_rms": True, "x": 1}, ["type:vibration_rms", "extra:x"]),
+    ],
+)
+def test_contract_rejects(spark, change, expected):
+    assert violations(spark, json.dumps({**GOOD, **change})) == expected
+
+
+def test_contract_rejects_other_texts(spark):
+    missing = {k: v for k, v in GOOD.items() if k not in ("device_id", "recorded_at")}
+    assert violations(spark, json.dumps(missing)) == ["missing:device_id", "missing:recorded_at"]
+    assert violations(spark, "{broken") == ["not_json"]
+    assert violations(spark, "[1]") == ["not_an_object"]
+    assert violations(spark, json.dumps({**GOOD, "vibration_rms": math.inf})) == ["not_json"]
+
+
+def test_contract_splits(spark):
+    texts = [(json.dumps(GOOD),), ("nonsense",)]
+    checked = contract.check_contract(spark.createDataFrame(texts, "value string"))
+    valid = contract.valid_readings(checked)
+    assert [(f.name, f.dataType) for f in valid.schema] == [(f.name, f.dataType) for f in READING]
+    assert [tuple(r) for r in valid.collect()] == [tuple(GOOD.values())]
+    assert [r["value"] for r in contract.quarantined(checked).collect()] == ["nonsense"]
+
+
+def readings(spark, *entries):
+    rows = [(f"d{e % 2}", e, "2024-01-15T14:30:00Z", None, 22.5, 1.0, 9, "2024-01-15T14:31:00Z") for e in entries]
+    return spark.createDataFrame(rows, READING)
+
+
+def files_below(root, suffix):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(suffix))
+
+
+def test_compact_json_keeps_nulls(spark):
+    text = readings(spark, 1).select(scalars.compact_json(*READING.names)).first()[0]
+    assert " " not in text and '"vibration_rms":null' in text
+    assert json.loads(text)["entry_id"] == 1
+
+
+def test_landing_layout(spark, path):
+    landing.write_landing(readings(spark, 1, 2, 3), path("landing"), "2024-02-03 04:05:06", rows_per_file=1)
+    landing.write_landing(readings(spark, 4), path("landing"), "2024-02-03 05:00:00")
+    files = files_below(path("landing"), ".json")
+    assert len(files) == len(set(files)) == 4
+    assert sum("/year=2024/month=02/day=03/hour=04/" in f for f in files) == 3
+    with open(files[0]) as handle:
+        assert json.loads(handle.read())["vibration_rms"] is None
+    back = landing.read_landing(spark, path("landing"))
+    assert sorted(back.select(*READING.names).collect()) == sorted(readings(spark, 1, 2, 3, 4).collect())
+    pruned = back.filter("hour = '05'")
+    assert pruned.count() == 1
+    assert "PartitionFilters: [isnotnull(hour" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_device_order(spark):
+    ordered = landing.ordered_by_device(readings(spark, *range(50)).repartition(5)).collect()
+    assert [(r["device_id"], r["entry_id"]) for r in ordered] == sorted((f"d{e % 2}", e) for e in range(50))
+
+
+def dated(spark, *rows):
+    return spark.createDataFrame(rows, "day string, v int")
+
+
+def contents(df):
+    return sorted((str(r["day"]), r["v"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("by_name", [False, True])
+def test_partition_overwrite(spark, path, by_name):
+    ref = "overwrite_test" if by_name else path("t")
+    if by_name:
+        spark.sql("DROP TABLE IF EXISTS overwrite_test")
+    tables.write_table(dated(spark, ("a", 1), ("b", 2)), ref, "overwrite_partitions", ("day",))
+    tables.write_table(dated(spark, ("b", 3), ("c", 4)), ref, "overwrite_partitions", ("day",))
+    assert contents(tables.read_table(spark, ref)) == [("a", 1), ("b", 3), ("c", 4)]
+
+
+@pytest.mark.parametrize("by_name", [False, True])
+def test_write_modes(spark, path, by_name):
+    ref = "modes_test" if by_name else path("t")
+    if by_name:
+        spark.sql("DROP TABLE IF EXISTS modes_test")
+    assert tables.read_if_exists(spark, ref) is None
+    tables.write_table(dated(spark, ("a", 1)), ref)
+    tables.write_table(dated(spark, ("a", 2)), ref, "append")
+    assert contents(tables.read_table(spark, ref)) == [("a", 1), ("a", 2)]
+    tables.write_table(dated(spark, ("z", 9)), ref, "overwrite")
+    assert contents(tables.read_table(spark, ref)) == [("z", 9)]
+    with pytest.raises(AnalysisException):
+        tables.write_table(dated(spark, ("z", 9)), ref, "error")
+    with pytest.raises(ValueError):
+        tables.write_table(dated(spark, ("z", 9)), ref, "overwritePartition")
+
+
+def test_sql_text(spark):
+    df = tables.run_sql(spark, "SELECT sum(v) AS s FROM things WHERE day = :day", {"things": dated(spark, ("a", 1), ("b", 2))}, day="b")
+    assert df.collect() == [(2,)]
+    assert tables.run_sql(spark, "SELECT TIMESTAMP '2024-01-01' AS t").first()["t"] == at("2024-01-01")
