@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions import scalars
 from gaugeworks.operators.joins import join_dimension
+from gaugeworks.operators.metrics import LAST_COMPUTED
 from gaugeworks.sources.schemas import ALARM_RULE
 
 BELOW = "LessThanThreshold"
@@ -20,9 +21,10 @@ NOT_BREACHING = "notBreaching"
 GOLD_MAX_AGE_SECONDS = 7200
 
 
-def default_rules(as_of: str | datetime) -> list[tuple]:
-    """The five standard rules. Gold is stale when its last update lies more
-    than two hours before ``as_of``."""
+def default_rules(as_of: str | datetime, gold_metric: str = LAST_COMPUTED) -> list[tuple]:
+    """The five standard rules. Gold is stale when it was last computed more
+    than two hours before ``as_of``; with ``gold_metric=LAST_UPDATE``, when its
+    newest date began before that."""
     at = datetime.fromisoformat(str(as_of)).replace(tzinfo=timezone.utc)
     oldest_gold = at.timestamp() - GOLD_MAX_AGE_SECONDS
     # Rule, metric, statistic, period, periods, comparison,
@@ -32,7 +34,7 @@ def default_rules(as_of: str | datetime) -> list[tuple]:
         ("pipeline-errors", "PipelineErrors", "Sum", 300, 1, AT_LEAST, 1.0, NOT_BREACHING, {}),
         ("stream-lag", "GetRecords.IteratorAgeMilliseconds", "Maximum", 300, 1, ABOVE, 60000.0, NOT_BREACHING, {}),
         ("storage-errors", "5xxErrors", "Sum", 300, 1, AT_LEAST, 1.0, NOT_BREACHING, {}),
-        ("gold-stale", "GoldTableLastUpdate", "Maximum", 3600, 2, BELOW, oldest_gold, BREACHING, {}),
+        ("gold-stale", gold_metric, "Maximum", 3600, 2, BELOW, oldest_gold, BREACHING, {}),
     ]
 
 

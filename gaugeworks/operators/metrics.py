@@ -14,6 +14,8 @@ from gaugeworks.sources.tables import write_table
 
 P99 = 0.99
 LOOKBACK_HOURS = 3
+LAST_UPDATE = "GoldTableLastUpdate"
+LAST_COMPUTED = "GoldTableLastComputed"
 
 # Metric, statistic and period in seconds of each dashboard curve.
 DASHBOARD_CURVES = [
@@ -78,11 +80,21 @@ def risk_metrics(daily: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def freshness_metric(daily: DataFrame, as_of=None) -> DataFrame:
-    """Epoch seconds of midnight of the newest date, 0.0 without rows (AGG-15)."""
+def freshness_metrics(daily: DataFrame, as_of=None) -> DataFrame:
+    """Epoch seconds of midnight of the newest date (AGG-15) and of the last
+    computation, which tells whether the job ran; 0.0 without rows."""
+    ts = scalars.moment(as_of)
     newest = F.unix_timestamp(F.max(F.col("date").cast("timestamp"))).cast("double")
-    return daily.agg(F.coalesce(newest, F.lit(0.0)).alias("epoch")).select(
-        *metric_row("GoldTableLastUpdate", F.col("epoch"), "None", scalars.moment(as_of))
+    computed = F.unix_timestamp(F.max("_computed_at")).cast("double")
+    return daily.agg(
+        F.coalesce(newest, F.lit(0.0)).alias("newest"), F.coalesce(computed, F.lit(0.0)).alias("computed")
+    ).select(
+        F.inline(
+            F.array(
+                F.struct(*metric_row(LAST_UPDATE, F.col("newest"), "None", ts)),
+                F.struct(*metric_row(LAST_COMPUTED, F.col("computed"), "None", ts)),
+            )
+        )
     )
 
 
@@ -90,7 +102,7 @@ def snapshot(bronze: DataFrame, silver: DataFrame, hourly: DataFrame, daily: Dat
     return (
         row_counts(bronze, silver, hourly, daily, as_of)
         .unionByName(risk_metrics(daily, as_of))
-        .unionByName(freshness_metric(daily, as_of))
+        .unionByName(freshness_metrics(daily, as_of))
     )
 
 

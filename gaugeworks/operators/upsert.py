@@ -1,7 +1,8 @@
 """Keyed upsert into a Parquet table (SNK-4, SNK-5, JOIN-1).
 
 The table is partitioned by ``_key_block``, a range of entry ids. Entry ids grow
-with time, so a batch touches few blocks; only those are read and rewritten.
+with time, so a batch touches few blocks; only those are read and rewritten. How
+many ids make a block is fixed when the table is made and stored beside it.
 Executors may be lost at any point of a write; the blocks are swapped by the
 driver when all tasks are done. One writer at a time; there is no transaction
 log, so a driver lost during the swap calls for a rerun of the batch.
@@ -9,14 +10,12 @@ log, so a driver lost during the swap calls for a rerun of the batch.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks import settings
 from gaugeworks.operators.joins import merge_rows
-from gaugeworks.session import stage
+from gaugeworks.session import stage, staged
 from gaugeworks.sources.tables import read_if_exists
 
 BLOCK = "_key_block"
@@ -35,10 +34,26 @@ def _size_path(path: str) -> str:
     return f"{path.rstrip('/')}/_block_size"
 
 
-def _block_size(spark: SparkSession, path: str, default: int) -> int:
-    """The size fixed when the table was made; it is stored beside the table."""
-    stored = spark.read.schema("block_size bigint").json(_size_path(path)).head()
-    return stored["block_size"] if stored else default
+def _stored_size(spark: SparkSession, path: str) -> int:
+    return spark.read.schema("block_size bigint").json(_size_path(path)).head()["block_size"]
+
+
+def _store_size(spark: SparkSession, path: str, size: int) -> None:
+    spark.range(1).select(F.lit(size).alias("block_size")).write.mode("overwrite").json(_size_path(path))
+
+
+def fitting_block_size(batch: DataFrame) -> int:
+    """Entry ids per block, so that blocks of a table like ``batch`` hold about
+    ``KEY_BLOCK_ROWS`` rows and ``batch`` makes no more than
+    ``KEY_BLOCK_MAX_COUNT`` of them."""
+    ids = batch.agg(
+        F.count("entry_id").alias("rows"), F.min("entry_id").alias("low"), F.max("entry_id").alias("high")
+    ).head()
+    if not ids["rows"]:
+        return settings.KEY_BLOCK_ROWS
+    span = ids["high"] - ids["low"] + 1
+    by_rows = span * settings.KEY_BLOCK_ROWS // ids["rows"]
+    return min(max(by_rows, span // settings.KEY_BLOCK_MAX_COUNT, 1), 2**62)
 
 
 def _write_blocks(df: DataFrame, path: str) -> None:
@@ -76,47 +91,41 @@ def replaced_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.filter(complete).join(batch.filter(complete).select(*settings.KEYS), list(settings.KEYS), "left_semi")
 
 
-@dataclass(frozen=True)
-class Upserted:
-    """The staged batch, and (if asked for) all dates whose readings changed:
-    those of the batch and those the replaced rows had before."""
-
-    batch: DataFrame
-    dates: DataFrame | None = None
-
-
 def upsert(
     batch: DataFrame,
     path: str,
-    block_size: int = settings.KEY_BLOCK_SIZE,
+    block_size: int | None = None,
     null_safe: bool = False,
     track_dates: bool = False,
-) -> Upserted:
+) -> DataFrame | None:
     """Insert or replace the rows of ``batch``, which holds each key once.
 
-    Creates the table on first use. The batch is staged first: it is computed
-    once, and it may itself read the table it goes into.
+    Creates the table on first use, with ``block_size`` ids per block or, if
+    none is given, as many as fit the batch. The batch is staged first: it is
+    computed once, and it may itself read the table it goes into.
+
+    With ``track_dates`` the result holds all dates whose readings changed:
+    those of the batch and those the replaced rows had before.
     """
     spark = batch.sparkSession
-    target = read_if_exists(spark, path)
-    if target is None:
-        spark.createDataFrame([(block_size,)], "block_size bigint").coalesce(1).write.mode("overwrite").json(
-            _size_path(path)
-        )
-        size = block_size
-    else:
-        size = _block_size(spark, path, block_size)
-    staged = stage(batch.withColumn(BLOCK, key_block(size)), "upsert-batch")
-    touched = None if target is None else touched_target(target, staged)
-    dates = _changed_dates(staged, touched) if track_dates else None
-    merged = staged if touched is None else merge_rows(touched, staged, null_safe=null_safe)
-    _write_blocks(merged, path)
-    return Upserted(staged.drop(BLOCK), dates)
-
-
-def _changed_dates(staged: DataFrame, touched: DataFrame | None) -> DataFrame:
-    times = staged.select("recorded_at")
+    with staged(batch, "upsert-batch") as rows:
+        target = read_if_exists(spark, path)
+        if target is None:
+            size = block_size or fitting_block_size(rows)
+            _store_size(spark, path, size)
+        else:
+            size = _stored_size(spark, path)
+        blocked = rows.withColumn(BLOCK, key_block(size))
+        touched = None if target is None else touched_target(target, blocked)
+        dates = _changed_dates(rows, touched) if track_dates else None
+        merged = blocked if touched is None else merge_rows(touched, blocked, null_safe=null_safe)
+        _write_blocks(merged, path)
+    return dates
+
+
+def _changed_dates(rows: DataFrame, touched: DataFrame | None) -> DataFrame:
+    times = rows.select("recorded_at")
     if touched is not None:
-        times = times.unionByName(replaced_rows(touched, staged).select("recorded_at"))
+        times = times.unionByName(replaced_rows(touched, rows).select("recorded_at"))
     # Staged, because the replaced rows are gone after the write.
     return stage(times.select(F.to_date("recorded_at").alias("date")).distinct(), "changed-dates")

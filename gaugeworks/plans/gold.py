@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gaugeworks import settings
 from gaugeworks.operators.rollups import daily_from_parts, hour_parts, hourly_from_parts, sentinel_to_null
 from gaugeworks.operators.scoring import score_daily
-from gaugeworks.session import stage
+from gaugeworks.session import staged
 from gaugeworks.sources.tables import read_if_exists, write_table
 
 # The hourly table is partitioned by the date of the window; one folder per
@@ -34,9 +34,9 @@ def rebuild(
 ) -> None:
     """Both tables from all of Silver. Silver is scanned once; the staged hourly
     parts, which are far smaller, feed both."""
-    parts = stage(hour_parts(sentinel_to_null(silver)), "hour-parts")
-    write_hourly(hourly_from_parts(parts, now), hourly_ref)
-    write_daily(score_daily(daily_from_parts(parts, now), frame_rows), daily_ref)
+    with staged(hour_parts(sentinel_to_null(silver)), "hour-parts") as parts:
+        write_hourly(hourly_from_parts(parts, now), hourly_ref)
+        write_daily(score_daily(daily_from_parts(parts, now), frame_rows), daily_ref)
 
 
 @dataclass(frozen=True)
@@ -97,7 +97,6 @@ def refresh(
     all of its readings keeps its old rows: overwriting by partition replaces
     partitions that occur in the result.
     """
-    spark = silver.sparkSession
     changed = ChangedDates.of(dates)
     recorded = F.col("recorded_at")
     readings = silver
@@ -110,11 +109,13 @@ def refresh(
             & (recorded < F.date_add(F.lit(changed.last), 1).cast("timestamp"))
         )
     readings = changed.select_from(readings, F.to_date(recorded))
-    parts = stage(hour_parts(sentinel_to_null(readings)), "hour-parts")
-    write_hourly(hourly_from_parts(parts, now), hourly_ref)
+    with staged(hour_parts(sentinel_to_null(readings)), "hour-parts") as parts:
+        write_hourly(hourly_from_parts(parts, now), hourly_ref)
+        _refresh_daily(daily_from_parts(parts, now), daily_ref, changed, frame_rows)
 
-    fresh = daily_from_parts(parts, now)
-    stored = read_if_exists(spark, daily_ref)
+
+def _refresh_daily(fresh: DataFrame, daily_ref: str, changed: ChangedDates, frame_rows: int) -> None:
+    stored = read_if_exists(fresh.sparkSession, daily_ref)
     if stored is None:
         write_daily(score_daily(fresh, frame_rows), daily_ref)
         return
@@ -123,10 +124,11 @@ def refresh(
         # Undated rows sort first, so every later score may change.
         write_daily(score_daily(kept.unionByName(fresh), frame_rows), daily_ref)
         return
-    later = kept.filter(F.col("date") >= F.lit(changed.first))
-    scored = score_daily(_recent_history(kept, changed.first, frame_rows).unionByName(
-        later.unionByName(fresh), allowMissingColumns=True), frame_rows)
-    write_daily(scored.filter(F.col("date") >= F.lit(changed.first)).select(*stored.columns), daily_ref)
+    since = F.col("date") >= F.lit(changed.first)
+    rows = kept.filter(since).unionByName(fresh)
+    history = _recent_history(kept, changed.first, frame_rows)
+    scored = score_daily(rows.unionByName(history, allowMissingColumns=True), frame_rows)
+    write_daily(scored.filter(since).select(*stored.columns), daily_ref)
 
 
 def _recent_history(kept: DataFrame, first, frame_rows: int) -> DataFrame:

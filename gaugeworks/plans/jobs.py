@@ -116,7 +116,7 @@ def run_silver(
     spark: SparkSession,
     where: Locations,
     incremental: bool = False,
-    block_size: int = settings.KEY_BLOCK_SIZE,
+    block_size: int | None = None,
     null_safe: bool = False,
     on_batch=None,
 ) -> None:
@@ -213,7 +213,7 @@ def run_all(
         run_gold(spark, where, frame_rows, skip_optimize)
     else:
         run_silver(
-            spark, where, incremental=True, on_batch=lambda up: write_table(up.dates, where.pending_dates, "append")
+            spark, where, incremental=True, on_batch=lambda dates: write_table(dates, where.pending_dates, "append")
         )
         refresh_pending(spark, where, frame_rows, skip_optimize)
     run_metrics(spark, where)

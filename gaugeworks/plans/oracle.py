@@ -215,6 +215,7 @@ _SNAPSHOT = " UNION ALL ".join(
         ),
         ("MaxVibrationZScore", "coalesce(max(vibration_zscore), 0.0)", "None", "risk WHERE date = DATE '2024-01-30'"),
         ("GoldTableLastUpdate", "coalesce(epoch(max(CAST(date AS TIMESTAMP))), 0)", "None", "risk"),
+        ("GoldTableLastComputed", "coalesce(epoch(max(_computed_at)), 0)", "None", "risk"),
     )
 )
 

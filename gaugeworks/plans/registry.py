@@ -193,8 +193,8 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     upsert(cleanse.latest_delivery(cleanse.clean(view.first_deliveries(events))), silver)
     gold.rebuild(read_upserted(spark, silver), hourly, daily, RISK_FRAME)
     again = cleanse.latest_delivery(cleanse.clean(view.second_deliveries(events)))
-    changed = upsert(again, silver, track_dates=True)
-    gold.refresh(read_upserted(spark, silver), hourly, daily, changed.dates, RISK_FRAME)
+    dates = upsert(again, silver, track_dates=True)
+    gold.refresh(read_upserted(spark, silver), hourly, daily, dates, RISK_FRAME)
     return read_table(spark, daily).drop("_computed_at")
 
 
@@ -313,7 +313,7 @@ def dashboard_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def alarm_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = alarms.default_rules(AS_OF) + [
+    rules = alarms.default_rules(AS_OF, gold_metric="GoldTableLastUpdate") + [
         ("device-errors", "PipelineErrors", "SampleCount", 3600, 2, alarms.AT_LEAST, 1.0, alarms.NOT_BREACHING,
          {"DeviceId": "device-000003"}),
     ]

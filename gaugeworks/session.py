@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,8 +52,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Used where one result feeds several branches: it is computed once, the
     lineage ends at durable files, and Spark knows its size when it plans joins.
+    The files stay, since the result is read later; see :func:`staged`.
     """
-    spark = df.sparkSession
-    path = work_path(spark, label)
+    return _write_and_read(df, work_path(df.sparkSession, label))
+
+
+@contextmanager
+def staged(df: DataFrame, label: str):
+    """Like :func:`stage`, for results needed only inside the ``with`` block."""
+    path = work_path(df.sparkSession, label)
+    yield _write_and_read(df, path)
+    _delete(df.sparkSession, path)
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -32,7 +32,9 @@ DEFAULT_CHANNELS = [
 BROADCAST_MAX_ROWS = 100_000
 # So many partition values are pruned by an IN list; more by a semi join.
 PRUNE_MAX_VALUES = 2_000
-# Entry ids per Silver key block.
-KEY_BLOCK_SIZE = 10_000
+# A new Silver table gets key blocks of about so many rows, and at most so many
+# blocks for its first batch.
+KEY_BLOCK_ROWS = 4_000_000
+KEY_BLOCK_MAX_COUNT = 5_000
 # Partition column of the hourly table: the date of the window.
 HOURLY_PARTITION = "_window_date"

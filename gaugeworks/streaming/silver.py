@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeworks import settings
 from gaugeworks.operators.cleanse import to_silver
 from gaugeworks.operators.upsert import upsert
 
@@ -20,20 +19,20 @@ def upsert_stream(
     bronze: DataFrame,
     silver: str,
     checkpoint: str,
-    block_size: int = settings.KEY_BLOCK_SIZE,
+    block_size: int | None = None,
     null_safe: bool = False,
     on_batch=None,
 ) -> StreamingQuery:
     """Clean and upsert what is new, then stop.
 
     A batch that is replayed after a failure replaces its own rows again.
-    ``on_batch`` receives what each upsert changed, e.g. to refresh Gold.
+    ``on_batch`` receives the dates each upsert changed, e.g. to refresh Gold.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        changed = upsert(to_silver(batch), silver, block_size, null_safe, track_dates=on_batch is not None)
+        dates = upsert(to_silver(batch), silver, block_size, null_safe, track_dates=on_batch is not None)
         if on_batch is not None:
-            on_batch(changed)
+            on_batch(dates)
 
     query = (
         bronze.writeStream.foreachBatch(apply)

@@ -18,7 +18,7 @@ def rows(spark, *values):
 def daily(spark, *values):
     return spark.createDataFrame(
         values, "device_id string, date string, vibration_zscore double, is_at_risk boolean"
-    ).withColumn("date", F.to_date("date"))
+    ).withColumns({"date": F.to_date("date"), "_computed_at": F.lit("2024-01-02 07:00:00").cast("timestamp")})
 
 
 def values_by_name(df):
@@ -44,11 +44,12 @@ def test_snapshot(spark):
         "AtRiskDeviceCount": 1.0,
         "MaxVibrationZScore": 2.6,
         "GoldTableLastUpdate": 1704153600.0,
+        "GoldTableLastComputed": 1704178800.0,
     }
 
 
 def test_defaults_without_rows(spark):
-    found = values_by_name(metrics.risk_metrics(daily(spark)).unionByName(metrics.freshness_metric(daily(spark))))
+    found = values_by_name(metrics.risk_metrics(daily(spark)).unionByName(metrics.freshness_metrics(daily(spark))))
     assert set(found.values()) == {0.0}
 
 
@@ -184,5 +185,6 @@ def test_only_whole_periods_are_judged(spark):
 def test_default_rules(spark):
     rules = {r[0]: r for r in alarms.default_rules("2024-01-31 00:00:00")}
     assert len(rules) == 5
+    assert rules["gold-stale"][1] == metrics.LAST_COMPUTED
     assert rules["gold-stale"][6] == 1706659200.0 - 7200
     assert rules["ingestion-stale"][7] == alarms.BREACHING

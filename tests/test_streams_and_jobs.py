@@ -116,7 +116,7 @@ def test_incremental_silver_equals_full(spark, path):
     for rows in (FIRST, SECOND, SECOND):
         write_table(bronze_rows(spark, *rows), path("bronze"))
         stream = new_bronze_files(spark, path("bronze"))
-        upsert_stream(stream, path("silver"), path("checkpoint"), on_batch=lambda up: seen.append(up.dates.collect()))
+        upsert_stream(stream, path("silver"), path("checkpoint"), on_batch=lambda dates: seen.append(dates.collect()))
     full = latest_delivery(clean(bronze_rows(spark, *FIRST, *SECOND)))
     found = read_upserted(spark, path("silver")).drop("_silver_updated_at")
     assert sorted(found.collect()) == sorted(full.collect())
@@ -134,9 +134,9 @@ def test_refresh_equals_rebuild(spark, path, monkeypatch, frame_rows, max_values
     monkeypatch.setattr(gold.ChangedDates, "of", lambda dates: of(dates, max_values))
     upsert(latest_delivery(clean(bronze_rows(spark, *FIRST))), path("silver"))
     gold.rebuild(read_upserted(spark, path("silver")), path("hourly"), path("daily"), frame_rows)
-    changed = upsert(latest_delivery(clean(bronze_rows(spark, *SECOND))), path("silver"), track_dates=True)
+    dates = upsert(latest_delivery(clean(bronze_rows(spark, *SECOND))), path("silver"), track_dates=True)
     silver = read_upserted(spark, path("silver"))
-    gold.refresh(silver, path("hourly"), path("daily"), changed.dates, frame_rows)
+    gold.refresh(silver, path("hourly"), path("daily"), dates, frame_rows)
     readings = sentinel_to_null(silver)
     expected = score_daily(daily(readings), frame_rows)
     assert without_times(read_table(spark, path("daily")).select(*expected.columns)) == without_times(expected)
@@ -148,9 +148,9 @@ def test_refresh_with_undated_readings(spark, path):
     undated = [("d1", 7, "soon", 3.0, "2024-01-06T11:00:00"), ("d2", 8, "2024-01-06T00:00:00Z", 1.0, "2024-01-06T11:00:00")]
     upsert(latest_delivery(clean(bronze_rows(spark, *FIRST))), path("silver"))
     gold.rebuild(read_upserted(spark, path("silver")), path("hourly"), path("daily"))
-    changed = upsert(latest_delivery(clean(bronze_rows(spark, *undated))), path("silver"), track_dates=True)
+    dates = upsert(latest_delivery(clean(bronze_rows(spark, *undated))), path("silver"), track_dates=True)
     silver = read_upserted(spark, path("silver"))
-    gold.refresh(silver, path("hourly"), path("daily"), changed.dates)
+    gold.refresh(silver, path("hourly"), path("daily"), dates)
     expected = score_daily(daily(sentinel_to_null(silver)))
     assert without_times(read_table(spark, path("daily")).select(*expected.columns)) == without_times(expected)
 

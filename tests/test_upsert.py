@@ -79,7 +79,7 @@ def test_listed_blocks_prune_folders(spark, path):
 def test_changed_dates_include_those_of_replaced_rows(spark, path):
     upsert(batch(spark, ("d1", 1, 1.0, "2024-01-01T05:00:00"), ("d1", 2, 1.0, "2024-01-09T05:00:00")), path("s"))
     moved = batch(spark, ("d1", 1, 1.0, "2024-01-03T05:00:00"))
-    dates = upsert(moved, path("s"), track_dates=True).dates.collect()
+    dates = upsert(moved, path("s"), track_dates=True).collect()
     assert sorted(str(r["date"]) for r in dates) == ["2024-01-01", "2024-01-03"]
 
 
