@@ -25,6 +25,18 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# DuckDB type names of the Spark types that occur.
+SQL_TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value + 0.0)
@@ -38,6 +50,10 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     result = con.sql(sql)
     if sorted(result.columns) != columns:
         return f"columns {columns} != {sorted(result.columns)}"
+    types = {name: SQL_TYPES.get(dtype, dtype) for name, dtype in df.dtypes}
+    other = {n: (types[n], str(t)) for n, t in zip(result.columns, result.types) if types[n] != str(t)}
+    if other:
+        return f"types differ: {other}"
     quoted = ", ".join(f'"{c}"' for c in columns)
     expected = sorted(tuple(plain(v) for v in row) for row in con.sql(f"SELECT {quoted} FROM ({sql})").fetchall())
     if len(actual) != len(expected):
