@@ -19,6 +19,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--continuous", action="store_true", help="keep polling (bronze only)")
     parser.add_argument("--check-contract", action="store_true", help="quarantine bad texts (bronze only)")
     parser.add_argument("--incremental", action="store_true", help="only new Bronze files, only changed dates")
+    parser.add_argument("--max-files", type=int, help="files per micro-batch (bronze, incremental silver)")
     parser.add_argument("--skip-optimize", action="store_true", help="leave the Gold file layout as written")
     parser.add_argument("--frame-rows", type=int, default=settings.RISK_FRAME_ROWS, help="rows in the z-score frame")
     return parser.parse_args(argv)
@@ -31,15 +32,17 @@ def main(argv: list[str] | None = None) -> None:
         where = replace(where, landing=args.source_path)
     if args.checkpoint_path:
         where = replace(where, checkpoints=args.checkpoint_path)
+    bounds = {"maxFilesPerTrigger": args.max_files} if args.max_files else {}
     spark = get_session(f"gaugeworks-{args.job}")
     if args.job == "bronze":
         mode = "continuous" if args.continuous else "available_now"
-        query = jobs.run_bronze(spark, where, mode, args.check_contract)
+        query = jobs.run_bronze(spark, where, mode, args.check_contract, **bounds)
         query.awaitTermination()
     elif args.job == "silver":
-        jobs.run_silver(spark, where, args.incremental)
+        jobs.run_silver(spark, where, args.incremental, **bounds)
     elif args.job == "gold":
-        jobs.run_gold(spark, where, args.frame_rows, args.skip_optimize)
+        run = jobs.refresh_pending if args.incremental else jobs.run_gold
+        run(spark, where, args.frame_rows, args.skip_optimize)
     elif args.job == "metrics":
         jobs.run_metrics(spark, where)
     else:

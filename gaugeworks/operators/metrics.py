@@ -144,34 +144,31 @@ def publish(metrics: DataFrame, ref: str) -> None:
     write_table(metrics.select(*METRIC.names), ref, "append")
 
 
-def rollup(metrics: DataFrame, period_seconds: int, percentile: float = P99) -> DataFrame:
+def rollup(metrics: DataFrame, period_seconds: int, percentile: float | None = P99) -> DataFrame:
     """Sum, average, extremes, count and an exact percentile per metric and
-    period, over all dimensions (AGG-19)."""
+    period, over all dimensions (AGG-19). ``percentile=None`` saves its pass."""
     keys = ["metric_name", "period_start"]
     period = F.window("ts", f"{period_seconds} seconds")["start"]
     timed = metrics.filter(F.col("metric_name").isNotNull()).select(
         "metric_name", period.alias("period_start"), "value"
     )
-    groups = stage(
-        timed.groupBy(*keys).agg(
-            F.sum("value").alias("sum"),
-            F.avg("value").alias("average"),
-            F.max("value").alias("maximum"),
-            F.min("value").alias("minimum"),
-            F.count("value").alias("n"),
-            band_sketch("value", percentile).alias("band"),
-        ),
-        "metric-groups",
-    )
-    exact = exact_percentile(timed, groups, keys, "value", percentile, "percentile")
-    return (
-        groups.drop("band")
-        .withColumnRenamed("n", "sample_count")
-        .join(exact, keys, "left")
-        .select(
-            "metric_name", F.lit(period_seconds).cast("bigint").alias("period_seconds"), "period_start",
-            "sum", "average", "maximum", "minimum", "sample_count", "percentile",
-        )
+    figures = [
+        F.sum("value").alias("sum"),
+        F.avg("value").alias("average"),
+        F.max("value").alias("maximum"),
+        F.min("value").alias("minimum"),
+        F.count("value").alias("n"),
+    ]
+    if percentile is None:
+        rolled = timed.groupBy(*keys).agg(*figures).withColumn("percentile", F.lit(None).cast("double"))
+    else:
+        band = band_sketch("value", percentile).alias("band")
+        groups = stage(timed.groupBy(*keys).agg(*figures, band), "metric-groups")
+        exact = exact_percentile(timed, groups, keys, "value", percentile, "percentile")
+        rolled = groups.join(exact, keys, "left")
+    return rolled.select(
+        "metric_name", F.lit(period_seconds).cast("bigint").alias("period_seconds"), "period_start",
+        "sum", "average", "maximum", "minimum", F.col("n").alias("sample_count"), "percentile",
     )
 
 
@@ -184,7 +181,8 @@ def dashboard_curves(metrics: DataFrame, as_of=None, hours: int = LOOKBACK_HOURS
     recent = metrics.filter(F.col("metric_name").isin(names) & (F.col("ts") >= since) & (F.col("ts") < now))
     rolled = None
     for seconds in sorted({seconds for _, _, seconds in wanted}):
-        rows = rollup(recent, seconds)
+        ranked = any(statistic == "p99" for _, statistic, period in wanted if period == seconds)
+        rows = rollup(recent, seconds, P99 if ranked else None)
         rolled = rows if rolled is None else rolled.unionByName(rows)
     spec = metrics.sparkSession.createDataFrame(
         wanted, "metric_name string, statistic string, period_seconds bigint"

@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 
 from gaugeworks import settings
 from gaugeworks.operators import health, metrics, quality
-from gaugeworks.operators.cleanse import clean, latest_delivery, stamp_updated
 from gaugeworks.operators.layout import compact
-from gaugeworks.operators.upsert import read_upserted, upsert
+from gaugeworks.operators.upsert import read_upserted
 from gaugeworks.plans import gold
+from gaugeworks.plans.silver import SilverStep, apply_batch
 from gaugeworks.session import stage
 from gaugeworks.sources.feeds import channel_dimension, parse_feeds
 from gaugeworks.sources.landing import write_landing
 from gaugeworks.sources.tables import read_if_exists, read_table, write_table
 from gaugeworks.streaming import bronze as bronze_stream
-from gaugeworks.streaming.silver import bronze_stream as read_bronze_stream
+from gaugeworks.streaming.silver import bronze_stream as new_bronze_files
 from gaugeworks.streaming.silver import upsert_stream
 
 
@@ -118,30 +118,24 @@ def run_silver(
     incremental: bool = False,
     block_size: int | None = None,
     null_safe: bool = False,
-    on_batch=None,
+    **source_options,
 ) -> None:
     """Bronze to Silver (PIPE-2): all of Bronze, or only its new files.
 
-    The standard battery is measured before nulls become sentinels, where it can
-    fail; the range checks are measured on the rows that are written. Both ride
-    along with the write.
+    Incremental runs leave the dates they changed for :func:`refresh_pending`.
     """
     started = time.time()
     if incremental:
-        stream = read_bronze_stream(spark, where.bronze)
-        upsert_stream(stream, where.silver, f"{where.checkpoints}/silver", block_size, null_safe, on_batch)
+
+        def keep(step: SilverStep) -> None:
+            write_table(step.dates, where.pending_dates, "append")
+            write_table(step.quality, where.quality, "append")
+
+        stream = new_bronze_files(spark, where.bronze, **source_options)
+        upsert_stream(stream, where.silver, f"{where.checkpoints}/silver", block_size, null_safe, keep)
     else:
-        bronze = read_table(spark, where.bronze)
-        incoming, before = quality.watch(bronze, "silver_input")
-        rows, after = quality.watch(
-            latest_delivery(clean(incoming)), "silver_output", quality.STANDARD_RULES + quality.PHYSICAL_RULES
-        )
-        upsert(stamp_updated(rows), where.silver, block_size, null_safe)
-        for name, seen, rules in (
-            ("bronze_sensors", before, quality.STANDARD_RULES),
-            ("silver_sensors", after, quality.STANDARD_RULES + quality.PHYSICAL_RULES),
-        ):
-            write_table(quality.observed_results(spark, name, seen.get, rules), where.quality, "append")
+        step = apply_batch(read_table(spark, where.bronze), where.silver, block_size, null_safe)
+        write_table(step.quality, where.quality, "append")
     _report_count(read_upserted(spark, where.silver), "SilverRowCount", where)
     _report_latency(spark, "Silver", started, where)
 
@@ -212,8 +206,6 @@ def run_all(
         run_silver(spark, where)
         run_gold(spark, where, frame_rows, skip_optimize)
     else:
-        run_silver(
-            spark, where, incremental=True, on_batch=lambda dates: write_table(dates, where.pending_dates, "append")
-        )
+        run_silver(spark, where, incremental=True)
         refresh_pending(spark, where, frame_rows, skip_optimize)
     run_metrics(spark, where)

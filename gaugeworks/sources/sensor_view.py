@@ -25,34 +25,38 @@ def device_name(user_id: Column) -> Column:
     return F.format_string("device-%06d", user_id)
 
 
-def _delivery(events: DataFrame, bump: float, lag: str) -> DataFrame:
+def _readings(events: DataFrame) -> DataFrame:
+    """Readings of events that say whether they are delivered ``again``."""
+
     def blanked(every: int, value: Column) -> Column:
         return F.when(F.col("event_id") % every != 0, value)
 
+    bump = F.when(F.col("again"), F.lit(1.0)).otherwise(F.lit(0.0))
+    day, minute = F.expr("INTERVAL '1' DAY"), F.expr("INTERVAL '1' MINUTE")
     return events.select(
         blanked(97, device_name(F.col("user_id"))).alias("device_id"),
         F.col("event_id").alias("entry_id"),
         F.date_format("ts", ISO_FORMAT).alias("recorded_at"),
-        blanked(11, F.col("value") + F.lit(bump)).alias("vibration_rms"),
+        blanked(11, F.col("value") + bump).alias("vibration_rms"),
         blanked(17, F.get_json_object("props", "$.k").cast("double")).alias("temperature_celsius"),
         blanked(13, (F.lit(1.0) + (F.col("event_id") % 100) * F.lit(0.01)).cast("double")).alias("pressure_bar"),
         (F.col("user_id") % 3).cast("int").alias("source_channel"),
-        (F.col("ts") + F.expr(f"INTERVAL {lag}")).alias("_ingested_at"),
+        F.when(F.col("again"), F.col("ts") + day).otherwise(F.col("ts") + minute).alias("_ingested_at"),
     )
 
 
 def first_deliveries(events: DataFrame) -> DataFrame:
-    return _delivery(events, 0.0, "1 MINUTE")
+    return _readings(events.withColumn("again", F.lit(False)))
 
 
 def second_deliveries(events: DataFrame) -> DataFrame:
-    return _delivery(events.filter(F.col("event_id") % 10 == 0), 1.0, "1 DAY")
+    return _readings(events.filter(F.col("event_id") % 10 == 0).withColumn("again", F.lit(True)))
 
 
 def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze rows: all events, plus the re-deliveries."""
-    events = read_events(spark, sf_dir)
-    return first_deliveries(events).unionByName(second_deliveries(events))
+    """Bronze rows: all events, plus the re-deliveries, from one scan."""
+    deliveries = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    return _readings(read_events(spark, sf_dir).select("*", F.explode(deliveries).alias("again")))
 
 
 def feed_payloads(events: DataFrame) -> DataFrame:

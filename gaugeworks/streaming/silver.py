@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeworks.operators.cleanse import to_silver
-from gaugeworks.operators.upsert import upsert
+from gaugeworks.plans.silver import SilverStep, apply_batch
 
 
 def bronze_stream(spark: SparkSession, bronze: str, **options) -> DataFrame:
-    """New files of the Bronze table; its schema is taken from what is stored."""
+    """New files of the Bronze table; its schema is taken from what is stored.
+
+    ``options`` go to the file source; ``maxFilesPerTrigger`` bounds a batch.
+    """
     schema = spark.read.parquet(bronze).schema
     return spark.readStream.schema(schema).options(**options).parquet(bronze)
 
@@ -21,18 +25,20 @@ def upsert_stream(
     checkpoint: str,
     block_size: int | None = None,
     null_safe: bool = False,
-    on_batch=None,
+    on_batch: Callable[[SilverStep], None] | None = None,
 ) -> StreamingQuery:
     """Clean and upsert what is new, then stop.
 
-    A batch that is replayed after a failure replaces its own rows again.
-    ``on_batch`` receives the dates each upsert changed, e.g. to refresh Gold.
+    Files come in the order they were written, so a later delivery of a reading
+    replaces an earlier one. A batch that is replayed after a failure replaces
+    its own rows again. ``on_batch`` receives the check results and the changed
+    dates of each batch.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        dates = upsert(to_silver(batch), silver, block_size, null_safe, track_dates=on_batch is not None)
+        step = apply_batch(batch, silver, block_size, null_safe, track_dates=on_batch is not None)
         if on_batch is not None:
-            on_batch(dates)
+            on_batch(step)
 
     query = (
         bronze.writeStream.foreachBatch(apply)

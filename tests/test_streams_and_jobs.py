@@ -116,7 +116,7 @@ def test_incremental_silver_equals_full(spark, path):
     for rows in (FIRST, SECOND, SECOND):
         write_table(bronze_rows(spark, *rows), path("bronze"))
         stream = new_bronze_files(spark, path("bronze"))
-        upsert_stream(stream, path("silver"), path("checkpoint"), on_batch=lambda dates: seen.append(dates.collect()))
+        upsert_stream(stream, path("silver"), path("checkpoint"), on_batch=lambda step: seen.append(step.dates.collect()))
     full = latest_delivery(clean(bronze_rows(spark, *FIRST, *SECOND)))
     found = read_upserted(spark, path("silver")).drop("_silver_updated_at")
     assert sorted(found.collect()) == sorted(full.collect())
@@ -203,6 +203,7 @@ def test_all_jobs_twice(spark, path, incremental):
     assert {"RecordsIngested", "BronzeWriteLatencyMs", "SilverWriteLatencyMs", "GoldWriteLatencyMs"} <= set(highest)
     checks = read_table(spark, where.quality)
     assert checks.filter("table_name = 'bronze_sensors' AND check_name = 'null_rate_pressure_bar' AND NOT passed").count() > 0
+    assert checks.filter("table_name = 'silver_sensors' AND check_name LIKE 'value_range%' AND passed").count() > 0
     if incremental:
         assert read_table(spark, where.pending_dates).count() == 0
 
