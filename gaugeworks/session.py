@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -31,22 +29,15 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session may fall back to a folder of this machine.
+    The cluster names that folder in ``spark.checkpoint.dir``; where it is not
+    set, the session's warehouse is taken, which is shared as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="gaugeworks-")
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -61,8 +52,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def staged(df: DataFrame, label: str):
     """Like :func:`stage`, for results needed only inside the ``with`` block."""
     path = work_path(df.sparkSession, label)
-    yield _write_and_read(df, path)
-    _delete(df.sparkSession, path)
+    try:
+        yield _write_and_read(df, path)
+    finally:
+        _delete(df.sparkSession, path)
 
 
 def _write_and_read(df: DataFrame, path: str) -> DataFrame:
