@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import simhash
+from gaugeworks.llm import mixing, packing, pii, simhash, toxicity
 from gaugeworks.llm.common import table
 
 
+def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.marked(table(spark, sf_dir, "documents"))
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select(
@@ -16,6 +28,16 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op7_simhash_dedup": op7_simhash_dedup}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    "op1_skip_chain_pii": op1_skip_chain_pii,
+    "op4_source_mix": op4_source_mix,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_toxicity": op8_toxicity,
+}
 
 ORACLES: dict[str, str] = {}
