@@ -73,10 +73,10 @@ QUERIES = {
 ORACLES = {
     "op3_bit_sliced_top_k": """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
     FROM whole q JOIN whole c ON c.vec_id <> q.vec_id
