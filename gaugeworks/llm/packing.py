@@ -5,7 +5,7 @@ rest; pieces are dealt to shards by hash, and each shard is packed by itself: be
 fit over pieces in falling order of length. Where no open bin has room, the size
 to open is the one with the least expected cost per word: its cost over what it
 will hold, which is the piece plus as much of the free room as the pieces still
-to come can fill. While much is to come the cheapest size per word wins, near
+to come can fill, less half the smallest of them. While much is to come the cheapest size per word wins, near
 the end a size that fits. At last each bin is downsized to the shortest length
 that holds its contents.
 
@@ -27,8 +27,6 @@ from gaugeworks.llm.common import word_count
 LENGTHS = (512, 1024, 2048, 4096)
 #: Cost of a bin: a fixed part, in words, and one for each word of its length.
 FIXED_COST = 16
-#: Share of a bin's free room that later pieces are expected to fill.
-FILL = 0.97
 SHARD_PIECES = 2_000
 
 
@@ -44,6 +42,12 @@ def pack(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS) -> tuple[np.ndar
     room: dict[int, list[int]] = {}  # free words -> open bins with that much
     free: list[int] = []  # the keys of room, sorted
     left = int(sizes.sum())
+    smallest = int(sizes[-1]) if len(sizes) else 0
+
+    def held(free_room: int) -> float:
+        """What pieces still to come are expected to put there."""
+        return min(max(free_room - smallest / 2, 0) if free_room >= smallest else 0, left)
+
     for n, size in enumerate(sizes.tolist()):
         left -= size
         k = bisect_left(free, size)
@@ -55,7 +59,7 @@ def pack(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS) -> tuple[np.ndar
             rest = at - size
         else:
             fits = [x for x in lengths if x >= size]
-            length = min(fits, key=lambda x: (cost(x) / (size + min(FILL * (x - size), left)), x))
+            length = min(fits, key=lambda x: (cost(x) / max(size + held(x - size), 1), x))
             chosen = len(opened)
             opened.append(length)
             rest = length - size

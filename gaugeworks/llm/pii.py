@@ -43,6 +43,8 @@ BUCKETS = 1 << 12
 ROUNDS, DAMPING = 12, 0.5
 #: A token is marked if its kind is at least so likely.
 SURE = 0.9
+#: How much more likely linked tokens agree, before anything is learnt.
+AGREEMENT = 3.0
 #: Log-odds that the tokens of base spans get for their kind.
 EVIDENCE = 8.0
 
@@ -191,8 +193,9 @@ def _scores(w: Weights, features, left, right, skips):
 
 
 def learn(features, label, left, right, skips, passes: int = 25, rate: float = 0.3) -> Weights:
-    """Pseudo-likelihood by AdaGrad over shuffled blocks of nodes."""
-    w = Weights(np.zeros((BUCKETS, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
+    """Pseudo-likelihood by AdaGrad over shuffled blocks of nodes, drawn to agreement of linked tokens."""
+    prior = Weights(np.zeros((BUCKETS, LABELS)), np.zeros((LABELS, LABELS)), AGREEMENT * np.eye(LABELS))
+    w = Weights(*(x.copy() for x in prior))
     sums = Weights(*(np.full(x.shape, 1e-6) for x in w))
     random = np.random.default_rng(0)
     for _ in range(passes if len(label) else 0):
@@ -211,8 +214,8 @@ def learn(features, label, left, right, skips, passes: int = 25, rate: float = 0
                 np.add.at(part, side[has], p[has])
                 grads[1] += part.T if turned else part
             grads[2] += skips[i].T @ p
-            for x, s, g in zip(w, sums, grads, strict=True):
-                g = g / len(i) + 1e-4 * x
+            for x, s, g, to in zip(w, sums, grads, prior, strict=True):
+                g = g / len(i) + 1e-4 * (x - to)
                 s += g * g
                 x -= rate * g / np.sqrt(s)
     # Agreement along a skip edge holds in both directions.
@@ -318,7 +321,9 @@ def train(docs: DataFrame) -> Weights:
                 skips = np.zeros((len(label), LABELS))
                 np.add.at(skips, (g.skip[:, 1], label[g.skip[:, 0]]), 1)
                 np.add.at(skips, (g.skip[:, 0], label[g.skip[:, 1]]), 1)
-                rows += np.column_stack([g.features, label, left, right, skips]).astype(int).tolist()
+                # A token that no pattern marks, though its like elsewhere is marked, teaches neither way.
+                clear = (label != OUTSIDE) | (skips[:, :OUTSIDE].sum(1) == 0)
+                rows += np.column_stack([g.features, label, left, right, skips])[clear].astype(int).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["row"])
 
     seen = texts(docs).join(chosen, "doc_id").mapInArrow(nodes, "row array<int>")
