@@ -25,8 +25,10 @@ def join_dimension(
 
 
 def salted_join(facts: DataFrame, dimension: DataFrame, on: list[str], salts: int = SALTS) -> DataFrame:
-    """Each key of the dimension is repeated per salt; facts take one salt each."""
-    salted_facts = facts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    """Each key of the dimension is repeated per salt; facts take one salt each, by a
+    hash of the whole row: rows of a hot key may all lie in one partition."""
+    plain = [c for c, kind in facts.dtypes if not kind.startswith(("map", "variant"))]
+    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
     repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_facts.join(repeated, [*on, "_salt"]).drop("_salt")
 

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from gaugeworks.sources.tables import read_table
 
+#: A partition with so few files, or with files of this size, is left as it is.
+FEW_FILES, SMALL_BYTES = 4, 64 << 20
+
 
 def file_layout(df: DataFrame) -> DataFrame:
     """Number of data files and their mean size, to see whether compaction pays."""
@@ -14,6 +17,16 @@ def file_layout(df: DataFrame) -> DataFrame:
     return files.agg(F.count(F.lit(1)).alias("files"), F.avg("file_size").alias("mean_bytes"))
 
 
+def fragmented(table: DataFrame, partition_col: str, files: int = FEW_FILES, size: int = SMALL_BYTES) -> list:
+    """Partitions that hold more than ``files`` files which on average are smaller than ``size``.
+
+    Names and sizes come from the file listing; one value for each partition is returned.
+    """
+    each = table.select(partition_col, "_metadata.file_path", "_metadata.file_size").distinct()
+    counted = each.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n"), F.avg("file_size").alias("bytes"))
+    return [row[0] for row in counted.filter((F.col("n") > files) & (F.col("bytes") < size)).collect()]
+
+
 def clustered(df: DataFrame, *by: str, partitions: int | None = None) -> DataFrame:
     """Range-partitioned and sorted by the given columns.
 
@@ -26,14 +39,24 @@ def clustered(df: DataFrame, *by: str, partitions: int | None = None) -> DataFra
 
 
 def compact(
-    spark: SparkSession, path: str, partition_col: str, *by: str, target: str | None = None, partitions: int | None = None
+    spark: SparkSession,
+    path: str,
+    partition_col: str,
+    *by: str,
+    target: str | None = None,
+    partitions: int | None = None,
+    only: list | None = None,
 ) -> None:
     """Rewrite a partitioned table with few, sorted files per partition.
 
     In place by default (each partition is swapped when all tasks are done);
     with ``target`` the result goes elsewhere and the source stays untouched.
+    ``only`` names the partitions to rewrite; all others are neither read nor written.
     """
     table = read_table(spark, path)
+    if only is not None:
+        hit = F.col(partition_col).isin([v for v in only if v is not None])
+        table = table.filter(hit | F.col(partition_col).isNull() if None in only else hit)
     columns = list(dict.fromkeys([partition_col, *by]))
     (
         clustered(table, *columns, partitions=partitions)

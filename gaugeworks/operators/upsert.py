@@ -3,19 +3,22 @@
 The table is partitioned by ``_key_block``, a range of entry ids. Entry ids grow
 with time, so a batch touches few blocks; only those are read and rewritten. How
 many ids make a block is fixed when the table is made and stored beside it.
-Executors may be lost at any point of a write; the blocks are swapped by the
-driver when all tasks are done. One writer at a time; there is no transaction
-log, so a driver lost during the swap calls for a rerun of the batch.
+Executors may be lost at any point of a write. Merged blocks are written beside the
+table first and stay there until they have replaced the old ones, so a driver
+lost during the swap loses nothing: the next upsert finishes the swap. One
+writer at a time; there is no transaction log.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks import settings
 from gaugeworks.operators.joins import merge_rows
-from gaugeworks.session import stage, staged
+from gaugeworks.session import delete_path, path_exists, stage, staged, touch
 from gaugeworks.sources.tables import read_if_exists
 
 BLOCK = "_key_block"
@@ -67,6 +70,29 @@ def _write_blocks(df: DataFrame, path: str) -> None:
     )
 
 
+def _swap_path(path: str) -> str:
+    # Not read as data, like the block size.
+    return f"{path.rstrip('/')}/_swap"
+
+
+def _replace_blocks(merged: DataFrame, path: str) -> None:
+    """Write the merged blocks beside the table, then swap them in."""
+    spark, swap = merged.sparkSession, _swap_path(path)
+    _write_blocks(merged, f"{swap}/blocks")
+    touch(spark, f"{swap}/ready")
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Swap in complete blocks that wait beside the table; drop incomplete ones."""
+    swap = _swap_path(path)
+    if path_exists(spark, f"{swap}/ready"):
+        blocks = read_if_exists(spark, f"{swap}/blocks")
+        if blocks is not None:
+            _write_blocks(blocks, path)
+    delete_path(spark, swap)
+
+
 def touched_target(target: DataFrame, batch: DataFrame, max_values: int = settings.PRUNE_MAX_VALUES) -> DataFrame:
     """The target's rows in blocks that the batch touches.
 
@@ -97,6 +123,7 @@ def upsert(
     block_size: int | None = None,
     null_safe: bool = False,
     track_dates: bool = False,
+    on_dates: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame | None:
     """Insert or replace the rows of ``batch``, which holds each key once.
 
@@ -105,9 +132,12 @@ def upsert(
     computed once, and it may itself read the table it goes into.
 
     With ``track_dates`` the result holds all dates whose readings changed:
-    those of the batch and those the replaced rows had before.
+    those of the batch and those the replaced rows had before. ``on_dates``
+    receives them before any block is replaced: a rerun after a failure can no
+    longer see the former dates.
     """
     spark = batch.sparkSession
+    finish_swap(spark, path)
     with staged(batch, "upsert-batch") as rows:
         target = read_if_exists(spark, path)
         if target is None:
@@ -117,9 +147,11 @@ def upsert(
             size = _stored_size(spark, path)
         blocked = rows.withColumn(BLOCK, key_block(size))
         touched = None if target is None else touched_target(target, blocked)
-        dates = _changed_dates(rows, touched) if track_dates else None
+        dates = _changed_dates(rows, touched) if track_dates or on_dates else None
+        if on_dates is not None:
+            on_dates(dates)
         merged = blocked if touched is None else merge_rows(touched, blocked, null_safe=null_safe)
-        _write_blocks(merged, path)
+        _replace_blocks(merged, path)
     return dates
 
 

@@ -11,7 +11,7 @@ from gaugeworks import settings
 from gaugeworks.operators.rollups import daily_from_parts, hour_parts, hourly_from_parts, sentinel_to_null
 from gaugeworks.operators.scoring import score_daily
 from gaugeworks.session import staged
-from gaugeworks.sources.tables import read_if_exists, write_table
+from gaugeworks.sources.tables import drop_partitions, read_if_exists, write_table
 
 # The hourly table is partitioned by the date of the window; one folder per
 # window would mean one folder per hour.
@@ -29,14 +29,27 @@ def write_daily(daily: DataFrame, ref: str) -> None:
     write_table(daily, ref, "overwrite_partitions", (DAILY_PARTITION,))
 
 
+def _dates_of(parts: DataFrame) -> set:
+    """The dates that have readings, null included: one value for each day on record."""
+    return {row[0] for row in parts.select(F.to_date("hour")).distinct().collect()}
+
+
+def _stored_dates(spark: SparkSession, ref: str, column: str) -> set:
+    table = read_if_exists(spark, ref)
+    return set() if table is None else {row[0] for row in table.select(column).distinct().collect()}
+
+
 def rebuild(
     silver: DataFrame, hourly_ref: str, daily_ref: str, frame_rows: int = settings.RISK_FRAME_ROWS, now=None
 ) -> None:
     """Both tables from all of Silver. Silver is scanned once; the staged hourly
-    parts, which are far smaller, feed both."""
+    parts, which are far smaller, feed both. Dates that are no longer in Silver go."""
     with staged(hour_parts(sentinel_to_null(silver)), "hour-parts") as parts:
         write_hourly(hourly_from_parts(parts, now), hourly_ref)
         write_daily(score_daily(daily_from_parts(parts, now), frame_rows), daily_ref)
+        present = _dates_of(parts)
+    for ref, column in ((hourly_ref, HOURLY_PARTITION), (daily_ref, DAILY_PARTITION)):
+        drop_partitions(silver.sparkSession, ref, column, _stored_dates(silver.sparkSession, ref, column) - present)
 
 
 @dataclass(frozen=True)
@@ -60,6 +73,11 @@ class ChangedDates:
         few = [row[0] for row in known.take(max_values + 1)]
         return cls(known, ends["first"], ends["last"], ends["undated"], few if len(few) <= max_values else None)
 
+    def values(self) -> set:
+        """All of them, null included: at most one for each day on record."""
+        known = self.listed if self.listed is not None else [row[0] for row in self.frame.collect()]
+        return {*known, None} if self.undated else set(known)
+
     def select_from(self, df: DataFrame, date: Column) -> DataFrame:
         """Rows of ``df`` on one of the dates."""
         return self._match(df, date, "left_semi")
@@ -93,9 +111,9 @@ def refresh(
     """Recompute only the given dates, plus the scores of later days.
 
     A row frame looks back ``frame_rows - 1`` rows, so a changed day can alter
-    the score of every later day's row but of no earlier one. A date that lost
-    all of its readings keeps its old rows: overwriting by partition replaces
-    partitions that occur in the result.
+    the score of every later day's row but of no earlier one. Overwriting by
+    partition leaves alone what is not in the result, so the partitions of dates
+    that lost all of their readings are dropped afterwards.
     """
     changed = ChangedDates.of(dates)
     recorded = F.col("recorded_at")
@@ -112,6 +130,9 @@ def refresh(
     with staged(hour_parts(sentinel_to_null(readings)), "hour-parts") as parts:
         write_hourly(hourly_from_parts(parts, now), hourly_ref)
         _refresh_daily(daily_from_parts(parts, now), daily_ref, changed, frame_rows)
+        emptied = changed.values() - _dates_of(parts)
+    drop_partitions(silver.sparkSession, hourly_ref, HOURLY_PARTITION, emptied - {None})
+    drop_partitions(silver.sparkSession, daily_ref, DAILY_PARTITION, emptied)
 
 
 def _refresh_daily(fresh: DataFrame, daily_ref: str, changed: ChangedDates, frame_rows: int) -> None:

@@ -6,6 +6,7 @@ Tables are the only hand-off between jobs, so each can be rerun by itself.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -14,15 +15,16 @@ from pyspark.sql import functions as F
 
 from gaugeworks import settings
 from gaugeworks.operators import health, metrics, quality
-from gaugeworks.operators.layout import compact
+from gaugeworks.operators.layout import compact, fragmented
 from gaugeworks.operators.upsert import read_upserted
 from gaugeworks.plans import gold
 from gaugeworks.plans.silver import SilverStep, apply_batch
-from gaugeworks.session import stage
+from gaugeworks.session import staged
 from gaugeworks.sources.feeds import channel_dimension, parse_feeds
 from gaugeworks.sources.landing import write_landing
-from gaugeworks.sources.tables import read_if_exists, read_table, write_table
+from gaugeworks.sources.tables import drop_partitions, read_if_exists, read_table, write_table
 from gaugeworks.streaming import bronze as bronze_stream
+from gaugeworks.streaming.progress import BatchReports
 from gaugeworks.streaming.silver import bronze_stream as new_bronze_files
 from gaugeworks.streaming.silver import upsert_stream
 
@@ -73,10 +75,10 @@ def _report_count(table: DataFrame, name: str, where: Locations) -> None:
 
 
 def run_landing(spark: SparkSession, payloads: DataFrame, where: Locations, channels: list[tuple] | None = None) -> None:
-    """Feed payloads to landing files, with ingest counts per device (PIPE-5)."""
-    readings = parse_feeds(payloads, channel_dimension(spark, channels))
-    write_landing(readings, where.landing)
-    metrics.publish(metrics.ingest_counts(readings), where.metrics)
+    """Feed payloads to landing files, with ingest counts per device (PIPE-5). Payloads are parsed once."""
+    with staged(parse_feeds(payloads, channel_dimension(spark, channels)), "readings") as readings:
+        write_landing(readings, where.landing)
+        metrics.publish(metrics.ingest_counts(readings), where.metrics)
 
 
 def run_bronze(
@@ -86,29 +88,34 @@ def run_bronze(
     check_contract: bool = False,
     **source_options,
 ):
-    """New landing files to Bronze; quality is measured on the incoming batch
-    (PIPE-1). With ``check_contract`` bad texts go to the quarantine table, by a
-    second query with a checkpoint of its own, so both sides are exactly-once."""
-    started = time.time()
+    """New landing files to Bronze (PIPE-1). Quality and latency are reported for every
+    micro-batch, in both modes, while the query runs. With ``check_contract`` bad texts
+    go to the quarantine table, by a second query with a checkpoint of its own, so
+    both sides are exactly-once; a failure of either is raised."""
+    aside = None
     if check_contract:
         lines = bronze_stream.landing_text_stream(spark, where.landing, **source_options)
         incoming = bronze_stream.to_checked_bronze(lines)
-        bronze_stream.append_stream(
+        aside = bronze_stream.append_stream(
             bronze_stream.to_quarantine(lines), where.quarantine, f"{where.checkpoints}/quarantine", mode
         )
     else:
         incoming = bronze_stream.to_bronze(bronze_stream.landing_stream(spark, where.landing, **source_options))
     measures = [rule.measure().alias(rule.name) for rule in quality.STANDARD_RULES]
     watched = incoming.observe("bronze_quality", *measures)
-    query = bronze_stream.write_bronze(watched, where.bronze, f"{where.checkpoints}/bronze", mode)
-    if mode != bronze_stream.AVAILABLE_NOW:
-        return query
-    for progress in query.recentProgress:
+
+    def report(progress) -> None:
         seen = progress.observedMetrics.get("bronze_quality")
         if seen is not None and progress.numInputRows > 0:
             write_table(quality.observed_results(spark, "bronze_sensors", seen.asDict()), where.quality, "append")
+            metrics.publish(metrics.progress_latencies(spark, "Bronze", [progress]), where.metrics)
+
+    reports = BatchReports(spark, "bronze_quality", report)
+    query = bronze_stream.write_bronze(watched, where.bronze, f"{where.checkpoints}/bronze", mode)
+    if mode != bronze_stream.AVAILABLE_NOW:
+        return bronze_stream.Running(query, aside, reports)
+    reports.finish(query)
     _report_count(read_table(spark, where.bronze), "BronzeRowCount", where)
-    _report_latency(spark, "Bronze", started, where)
     return query
 
 
@@ -117,7 +124,7 @@ def run_silver(
     where: Locations,
     incremental: bool = False,
     block_size: int | None = None,
-    null_safe: bool = False,
+    null_safe: bool = True,
     **source_options,
 ) -> None:
     """Bronze to Silver (PIPE-2): all of Bronze, or only its new files.
@@ -128,11 +135,13 @@ def run_silver(
     if incremental:
 
         def keep(step: SilverStep) -> None:
-            write_table(step.dates, where.pending_dates, "append")
             write_table(step.quality, where.quality, "append")
 
         stream = new_bronze_files(spark, where.bronze, **source_options)
-        upsert_stream(stream, where.silver, f"{where.checkpoints}/silver", block_size, null_safe, keep)
+        upsert_stream(
+            stream, where.silver, f"{where.checkpoints}/silver", block_size, null_safe, keep,
+            on_dates=lambda dates: publish_dates(dates, where),
+        )
     else:
         step = apply_batch(read_table(spark, where.bronze), where.silver, block_size, null_safe)
         write_table(step.quality, where.quality, "append")
@@ -140,6 +149,12 @@ def run_silver(
     _report_latency(spark, "Silver", started, where)
 
 
+def publish_dates(dates: DataFrame, where: Locations) -> None:
+    """Leave dates to refresh, under an id of their own, so that readers know which they have read."""
+    tagged = dates.select("date", F.lit(f"dates-{uuid.uuid4().hex}").alias("_published"))
+    write_table(tagged, where.pending_dates, "append", ("_published",))
+
+
 def run_gold(
     spark: SparkSession,
     where: Locations,
@@ -155,8 +170,13 @@ def run_gold(
     else:
         gold.refresh(silver, where.hourly, where.daily, dates, frame_rows)
     if not skip_optimize:
-        compact(spark, where.hourly, gold.HOURLY_PARTITION, "window_start", "device_id")
-        compact(spark, where.daily, gold.DAILY_PARTITION, "device_id")
+        for ref, column, by in (
+            (where.hourly, gold.HOURLY_PARTITION, ("window_start", "device_id")),
+            (where.daily, gold.DAILY_PARTITION, ("device_id",)),
+        ):
+            # Writes size their files, so few partitions need this, if any.
+            if worn := fragmented(read_table(spark, ref), column):
+                compact(spark, ref, column, *by, only=worn)
     daily = read_table(spark, where.daily)
     _report_count(read_table(spark, where.hourly), "GoldHourlyRowCount", where)
     _report_count(daily, "GoldDailyRowCount", where)
@@ -167,17 +187,23 @@ def run_gold(
 def refresh_pending(
     spark: SparkSession, where: Locations, frame_rows: int = settings.RISK_FRAME_ROWS, skip_optimize: bool = False
 ) -> None:
-    """Refresh Gold for the dates that Silver batches left pending. They are
-    dropped only afterwards, so a failed refresh is made up by the next one."""
+    """Refresh Gold for the dates that Silver batches left pending. Those read are
+    dropped only afterwards, so a failed refresh is made up by the next one; dates
+    that a Silver job leaves meanwhile stay for the next one, too."""
     pending = read_if_exists(spark, where.pending_dates)
     if pending is None:
         return
-    run_gold(spark, where, frame_rows, skip_optimize, dates=stage(pending.distinct(), "refresh-dates"))
-    write_table(spark.createDataFrame([], "date date"), where.pending_dates, "overwrite")
+    with staged(pending, "pending") as read:
+        # One id for each Silver batch since the last refresh.
+        published = [row[0] for row in read.select("_published").distinct().collect()]
+        if not published:
+            return
+        run_gold(spark, where, frame_rows, skip_optimize, dates=read.select("date").distinct())
+        drop_partitions(spark, where.pending_dates, "_published", published)
 
 
-def run_metrics(spark: SparkSession, where: Locations, as_of=None) -> DataFrame:
-    """A snapshot of the stored tables, appended to the metrics table (PIPE-4)."""
+def run_metrics(spark: SparkSession, where: Locations, as_of=None, dry_run: bool = False) -> DataFrame:
+    """A snapshot of the stored tables, appended to the metrics table (PIPE-4); a dry run only returns it."""
     rows = metrics.snapshot(
         read_table(spark, where.bronze),
         read_upserted(spark, where.silver),
@@ -185,7 +211,8 @@ def run_metrics(spark: SparkSession, where: Locations, as_of=None) -> DataFrame:
         read_table(spark, where.daily),
         as_of,
     )
-    metrics.publish(rows, where.metrics)
+    if not dry_run:
+        metrics.publish(rows, where.metrics)
     return rows
 
 
@@ -195,17 +222,20 @@ def run_all(
     incremental: bool = False,
     frame_rows: int = settings.RISK_FRAME_ROWS,
     skip_optimize: bool = False,
+    check_contract: bool = False,
+    null_safe: bool = True,
+    **source_options,
 ) -> None:
     """Bronze, Silver, Gold, metrics, in this order (PIPE-6).
 
     Incremental runs take what is new through Silver and then refresh the dates
     it changed.
     """
-    run_bronze(spark, where)
+    run_bronze(spark, where, check_contract=check_contract, **source_options)
     if not incremental:
-        run_silver(spark, where)
+        run_silver(spark, where, null_safe=null_safe)
         run_gold(spark, where, frame_rows, skip_optimize)
     else:
-        run_silver(spark, where, incremental=True)
+        run_silver(spark, where, incremental=True, null_safe=null_safe, **source_options)
         refresh_pending(spark, where, frame_rows, skip_optimize)
     run_metrics(spark, where)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+#: Files of the query on checks per micro-batch.
+BRONZE_FILES = 5
 METRICS = ("vibration_rms", "temperature_celsius", "pressure_bar")
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 ISO = "'%Y-%m-%dT%H:%M:%SZ'"
@@ -116,6 +118,17 @@ def _with(select: str, *names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in wanted) + "\n" + select
 
 
+def _moved(select: str, *names: str) -> str:
+    """The chain over two deliveries of which the second moves readings to the next day."""
+    half = "SELECT * REPLACE (CASE WHEN entry_id % 89 <> 0 THEN entry_id END AS entry_id) FROM ({})"
+    first = half.format(_delivery("0.0", "1 MINUTE"))
+    moved = "(SELECT * REPLACE (ts + INTERVAL 1 DAY AS ts) FROM events WHERE event_id % 10 = 0 OR CAST(ts AS DATE) = DATE '2024-01-01')"
+    # In the order of the runs, whatever the times of the readings.
+    second = half.format(_delivery("1.0", "1000 DAY").replace("FROM events", f"FROM {moved} AS events"))
+    text = _with(select, *names)
+    return text.replace(f"bronze AS ({CTES['bronze']})", f"bronze AS ({first} UNION ALL {second})")
+
+
 def _hourly_columns() -> str:
     return f"device_id, {_rounded(FIGURES)}, reading_count, window_start, window_end"
 
@@ -286,10 +299,10 @@ SELECT event_id, ts, user_id, value,
        CASE WHEN {_K} = 8 THEN '[' || t || ']' ELSE t END AS text, {_K} AS k
 FROM (SELECT *, '{{' || {_TEXT_DEVICE.format(k=_K)}
       || '"entry_id":' || CASE WHEN {_K} = 2 THEN '"' || event_id || '"' ELSE CAST(event_id AS VARCHAR) END
-      || ',"recorded_at":' || CASE WHEN {_K} = 3 THEN 'null' ELSE '"' || strftime(ts, {ISO}) || '"' END
-      || ',"vibration_rms":' || CASE WHEN {_K} = 4 THEN '"high"' WHEN {_K} = 5 THEN 'null' ELSE CAST(value AS VARCHAR) END
+      || ',"recorded_at":' || CASE WHEN {_K} = 3 THEN 'null' WHEN {_K} = 9 THEN '"soon"' ELSE '"' || strftime(ts, {ISO}) || '"' END
+      || ',"vibration_rms":' || CASE WHEN {_K} = 4 THEN '"high"' WHEN {_K} = 5 THEN 'null' WHEN {_K} = 10 THEN '1e999' ELSE CAST(value AS VARCHAR) END
       || CASE WHEN {_K} = 6 THEN ',"firmware":"v1","batch":7' ELSE '' END
-      || ',"source_channel":' || CAST(user_id % 3 AS VARCHAR)
+      || ',"source_channel":' || CASE WHEN {_K} = 11 THEN '99999999999' ELSE CAST(user_id % 3 AS VARCHAR) END
       || CASE WHEN {_K} = 7 THEN '' ELSE '}}' END AS t FROM events)"""
 _NUMBER_TYPES = "('UBIGINT', 'BIGINT', 'DOUBLE', 'NULL')"
 _CHECKED = f"""
@@ -305,8 +318,11 @@ checked AS (
        CASE WHEN NOT json_exists(j, '$.entry_id') THEN 'missing:entry_id'
             WHEN json_type(j, '$.entry_id') NOT IN ('UBIGINT', 'BIGINT') THEN 'type:entry_id' END,
        CASE WHEN NOT json_exists(j, '$.recorded_at') THEN 'missing:recorded_at'
-            WHEN json_type(j, '$.recorded_at') <> 'VARCHAR' THEN 'type:recorded_at' END,
-       CASE WHEN json_type(j, '$.vibration_rms') NOT IN {_NUMBER_TYPES} THEN 'type:vibration_rms' END],
+            WHEN json_type(j, '$.recorded_at') <> 'VARCHAR' THEN 'type:recorded_at'
+            WHEN try_strptime(json_extract_string(j, '$.recorded_at'), {ISO}) IS NULL THEN 'format:recorded_at' END,
+       CASE WHEN text LIKE '%"vibration_rms":1e999,%' THEN 'nonfinite:vibration_rms'
+            WHEN json_type(j, '$.vibration_rms') NOT IN {_NUMBER_TYPES} THEN 'type:vibration_rms' END,
+       CASE WHEN CAST(json_extract_string(j, '$.source_channel') AS BIGINT) > 2147483647 THEN 'range:source_channel' END],
       list_transform(list_sort(list_filter(json_keys(j), lambda x: x NOT IN ('device_id', 'entry_id', 'recorded_at',
         'vibration_rms', 'temperature_celsius', 'pressure_bar', 'source_channel', 'ingested_at'))),
         lambda x: 'extra:' || x)), ';'), '') END AS violations
@@ -374,6 +390,21 @@ SELECT {_SILVER_COLUMNS} FROM (
     "gold_refresh": _with(
         f"SELECT {_daily_columns()}, {half_up('vibration_zscore')} AS vibration_zscore, is_at_risk FROM risk", "risk"
     ),
+    "pipeline_full": _moved(
+        f"SELECT {_daily_columns()}, {half_up('vibration_zscore')} AS vibration_zscore, "
+        "vibration_zscore > 2.5 AS is_at_risk FROM daily14",
+        "daily14",
+    ),
+    "pipeline_incremental": _moved(
+        f"SELECT {_daily_columns()}, {half_up('vibration_zscore')} AS vibration_zscore, "
+        "vibration_zscore > 2.5 AS is_at_risk FROM daily14",
+        "daily14",
+    ),
+    "silver_null_keys": _moved(f"SELECT {_SILVER_COLUMNS.replace(', _ingested_at', '')} FROM silver", "silver"),
+    "bronze_quality": "WITH bronze AS (" + CTES["raw"] + ") " + " UNION ALL ".join(
+        _battery("bronze_sensors", f"(SELECT * FROM bronze WHERE entry_id % {BRONZE_FILES} = {k})", False)
+        for k in range(BRONZE_FILES)
+    ),
     "dq_report": _with(_battery("silver_sensors", "silver", True), "silver"),
     "dq_report_bronze": _with(_battery("bronze_sensors", "bronze", False), "bronze"),
     "dq_summary": _with(

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
+from gaugeworks import settings
 from gaugeworks.functions import scalars
 from gaugeworks.operators import alarms, cleanse, health, layout, metrics, quality, rollups, scoring
 from gaugeworks.operators.upsert import read_upserted, upsert
-from gaugeworks.plans import dashboard, gold
+from gaugeworks.plans import dashboard, gold, jobs
+from gaugeworks.plans.oracle import BRONZE_FILES
 from gaugeworks.session import stage, work_path
 from gaugeworks.sources import contract, landing
 from gaugeworks.sources import sensor_view as view
@@ -35,6 +37,7 @@ RISK_FRAME = 14
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+_SILVER = ("device_id", "entry_id", "recorded_at", *settings.METRICS, "source_channel")
 
 
 def neat(df: DataFrame) -> DataFrame:
@@ -124,6 +127,42 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_upserted(spark, silver).drop("_silver_updated_at")
 
 
+def _moving_landing(spark: SparkSession, sf_dir: str, where: jobs.Locations, again: bool) -> None:
+    readings = view.moving_deliveries(view.read_events(spark, sf_dir), again)
+    landing.write_landing(readings, where.landing, AS_OF)
+
+
+@register
+def silver_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings without entry id: the incremental job keeps the newest of each device."""
+    where = jobs.Locations.under(work_path(spark, "null-keys"))
+    for again in (False, True):
+        _moving_landing(spark, sf_dir, where, again)
+        jobs.run_bronze(spark, where)
+        jobs.run_silver(spark, where, incremental=True)
+    return read_upserted(spark, where.silver).select(*_SILVER)
+
+
+@register
+def pipeline_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing to Gold; the second delivery moves readings to other dates and empties one."""
+    where = jobs.Locations.under(work_path(spark, "pipeline-full"))
+    for again in (False, True):
+        _moving_landing(spark, sf_dir, where, again)
+        jobs.run_all(spark, where, frame_rows=RISK_FRAME)
+    return read_table(spark, where.daily).drop("_computed_at")
+
+
+@register
+def pipeline_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by increments: only what is new goes through Silver, only changed dates through Gold."""
+    where = jobs.Locations.under(work_path(spark, "pipeline-incremental"))
+    for again in (False, True):
+        _moving_landing(spark, sf_dir, where, again)
+        jobs.run_all(spark, where, incremental=True, frame_rows=RISK_FRAME)
+    return read_table(spark, where.daily).drop("_computed_at")
+
+
 # Roll-ups and scores
 
 
@@ -370,6 +409,16 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table).drop(*bronze_stream.AUDIT)
 
 
+@register
+def bronze_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Check results of a run of several micro-batches, one file each: a set for each batch."""
+    where = jobs.Locations.under(work_path(spark, "bronze-quality"))
+    raw = raw_readings(spark, sf_dir).withColumn("file", F.col("entry_id") % BRONZE_FILES)
+    raw.repartition("file").write.partitionBy("file").option("ignoreNullFields", "false").json(where.landing)
+    jobs.run_bronze(spark, where, maxFilesPerTrigger=1)
+    return read_table(spark, where.quality)
+
+
 @register
 def landing_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of readings into the landing layout."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,27 +17,27 @@ OUTPUT_RULES = quality.STANDARD_RULES + quality.PHYSICAL_RULES
 
 @dataclass(frozen=True)
 class SilverStep:
-    """What a step found and changed: check results, and changed dates if tracked."""
+    """What a step found: check results."""
 
     quality: DataFrame
-    dates: DataFrame | None
 
 
 def apply_batch(
     bronze: DataFrame,
     silver: str,
     block_size: int | None = None,
-    null_safe: bool = False,
-    track_dates: bool = False,
+    null_safe: bool = True,
+    on_dates: Callable[[DataFrame], None] | None = None,
 ) -> SilverStep:
     """The standard battery is measured before nulls become sentinels, where it
     can fail; the range checks are measured on the rows that are written. Both
-    ride along with the write."""
+    ride along with the write. ``on_dates`` receives the dates whose readings change,
+    before they do."""
     spark, run = bronze.sparkSession, uuid.uuid4().hex
     incoming, before = quality.watch(bronze, f"bronze-{run}")
     rows, after = quality.watch(latest_delivery(clean(incoming)), f"silver-{run}", OUTPUT_RULES)
-    dates = upsert(stamp_updated(rows), silver, block_size, null_safe, track_dates)
+    upsert(stamp_updated(rows), silver, block_size, null_safe, on_dates=on_dates)
     found = quality.observed_results(spark, "bronze_sensors", before.get).unionByName(
         quality.observed_results(spark, "silver_sensors", after.get, OUTPUT_RULES)
     )
-    return SilverStep(found, dates)
+    return SilverStep(found)

@@ -55,7 +55,7 @@ def staged(df: DataFrame, label: str):
     try:
         yield _write_and_read(df, path)
     finally:
-        _delete(df.sparkSession, path)
+        delete_path(df.sparkSession, path)
 
 
 def _write_and_read(df: DataFrame, path: str) -> DataFrame:
@@ -63,6 +63,22 @@ def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _folder(spark: SparkSession, path: str):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there, wherever Spark's file systems reach."""
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.create(folder, True).close()

@@ -15,6 +15,10 @@ from gaugeworks.session import pin_utc
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
+#: The first date; the second delivery of :func:`moving_deliveries` leaves it without readings.
+EMPTIED = "2024-01-01"
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -53,6 +57,21 @@ def second_deliveries(events: DataFrame) -> DataFrame:
     return _readings(events.filter(F.col("event_id") % 10 == 0).withColumn("again", F.lit(True)))
 
 
+def moving_deliveries(events: DataFrame, again: bool) -> DataFrame:
+    """Raw readings in two deliveries; the second moves readings to the next day.
+
+    It holds every tenth event and all events of ``EMPTIED``, so that no reading is
+    left on that date. Some readings have no entry id.
+    """
+    day = F.expr("INTERVAL '1' DAY")
+    if again:
+        events = events.filter((F.col("event_id") % 10 == 0) | (F.to_date("ts") == F.lit(EMPTIED).cast("date")))
+        events = events.withColumn("ts", F.col("ts") + day)
+    readings = _readings(events.withColumn("again", F.lit(again)))
+    entry_id = F.when(F.col("entry_id") % 89 != 0, F.col("entry_id"))
+    return readings.withColumn("entry_id", entry_id).withColumn("ingested_at", F.date_format("_ingested_at", ISO_FORMAT))
+
+
 def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows: all events, plus the re-deliveries, from one scan."""
     deliveries = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
@@ -102,10 +121,10 @@ def raw_texts(events: DataFrame) -> DataFrame:
         F.lit("{"),
         device,
         F.lit('"entry_id":'), F.when(nth(2), F.concat(F.lit('"'), entry, F.lit('"'))).otherwise(entry),
-        F.lit(',"recorded_at":'), F.when(nth(3), "null").otherwise(recorded),
-        F.lit(',"vibration_rms":'), F.when(nth(4), '"high"').when(nth(5), "null").otherwise(F.col("value").cast("string")),
+        F.lit(',"recorded_at":'), F.when(nth(3), "null").when(nth(9), '"soon"').otherwise(recorded),
+        F.lit(',"vibration_rms":'), F.when(nth(4), '"high"').when(nth(5), "null").when(nth(10), "1e999").otherwise(F.col("value").cast("string")),
         F.when(nth(6), ',"firmware":"v1","batch":7').otherwise(""),
-        F.lit(',"source_channel":'), (F.col("user_id") % 3).cast("string"),
+        F.lit(',"source_channel":'), F.when(nth(11), "99999999999").otherwise((F.col("user_id") % 3).cast("string")),
         F.when(nth(7), "").otherwise("}"),
     )
     return events.select(F.col("event_id"), F.when(nth(8), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text).alias("value"))

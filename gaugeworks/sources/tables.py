@@ -5,14 +5,17 @@ A reference with a slash is a Parquet folder; without one it is a catalog table.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.session import pin_utc
+from gaugeworks.session import delete_path, pin_utc
 
 MISSING_CONDITIONS = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+#: Fixed value: the folder of the partition whose value is null.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 WRITE_MODES = ("append", "overwrite", "error", "ignore", "overwrite_partitions")
 
 
@@ -81,6 +84,16 @@ def _overwrite_partitions(df: DataFrame, ref: str, partition_cols: tuple[str, ..
         spread.write.partitionBy(*partition_cols).format("parquet").saveAsTable(ref)
 
 
+def drop_partitions(spark: SparkSession, ref: str, column: str, values: Iterable) -> None:
+    """Delete whole partitions of a table by path or name; None stands for the null partition."""
+    for value in values:
+        if is_path(ref):
+            delete_path(spark, f"{ref.rstrip('/')}/{column}={NULL_PARTITION if value is None else value}")
+        else:
+            wanted = "null" if value is None else f"'{value}'"
+            spark.sql(f"ALTER TABLE {ref} DROP IF EXISTS PARTITION ({column} = {wanted})")
+
+
 def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None = None, **args) -> DataFrame:
     """SQL text over named frames. ``:name`` markers take ``args``."""
     for name, df in (tables or {}).items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,44 @@ from gaugeworks.sources.schemas import READING
 AVAILABLE_NOW = "available_now"
 CONTINUOUS = "continuous"
 POLL_INTERVAL = "30 seconds"
+POLL_SECONDS = 5
 AUDIT = ("_ingested_at", "_source_file", "_batch_id")
 
 
+@dataclass(frozen=True)
+class Running:
+    """A continuous job: its query, the one beside it if there is one, and their reports."""
+
+    query: StreamingQuery
+    aside: StreamingQuery | None
+    reports: object
+
+    def awaitTermination(self) -> None:  # noqa: N802 - as Spark's queries have it
+        """Wait for the end of either query, and raise its failure."""
+        queries = [q for q in (self.query, self.aside) if q is not None]
+        while all(q.isActive for q in queries):
+            queries[0].awaitTermination(POLL_SECONDS)
+        self.stop()
+        for q in queries:
+            if q.exception() is not None:
+                raise q.exception()
+
+    def processAllAvailable(self) -> None:  # noqa: N802
+        for q in (self.query, self.aside):
+            if q is not None:
+                q.processAllAvailable()
+
+    def stop(self) -> None:
+        for q in (self.query, self.aside):
+            if q is not None:
+                q.stop()
+        self.reports.finish(self.query)
+
+    @property
+    def isActive(self) -> bool:  # noqa: N802
+        return self.query.isActive and (self.aside is None or self.aside.isActive)
+
+
 def landing_stream(spark: SparkSession, path: str, **options) -> DataFrame:
     """New JSON files, each exactly once, with the fixed schema.
 

@@ -24,19 +24,24 @@ def upsert_stream(
     silver: str,
     checkpoint: str,
     block_size: int | None = None,
-    null_safe: bool = False,
+    null_safe: bool = True,
     on_batch: Callable[[SilverStep], None] | None = None,
+    on_dates: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Clean and upsert what is new, then stop.
 
     Files come in the order they were written, so a later delivery of a reading
     replaces an earlier one. A batch that is replayed after a failure replaces
-    its own rows again. ``on_batch`` receives the check results and the changed
-    dates of each batch.
+    its own rows again. ``on_batch`` receives the check results of each batch,
+    ``on_dates`` the dates it is about to change.
+
+    By default a null entry id is a key like any other: of a device's readings
+    without id the newest stays, however the files fall into batches. With
+    ``null_safe=False`` each batch adds its newest one.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        step = apply_batch(batch, silver, block_size, null_safe, track_dates=on_batch is not None)
+        step = apply_batch(batch, silver, block_size, null_safe, on_dates)
         if on_batch is not None:
             on_batch(step)
 

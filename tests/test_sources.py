@@ -104,6 +104,12 @@ def test_contract_accepts(spark):
         ({"source_channel": None}, ["type:source_channel"]),
         ({"zeta": 1, "alpha": 2}, ["extra:alpha", "extra:zeta"]),
         ({"vibration_rms": True, "x": 1}, ["type:vibration_rms", "extra:x"]),
+        ({"recorded_at": "soon"}, ["format:recorded_at"]),
+        ({"recorded_at": "2024-01-15"}, ["format:recorded_at"]),
+        ({"recorded_at": "2024-13-15T14:30:00Z"}, ["format:recorded_at"]),
+        ({"ingested_at": "15.01.2024 14:30"}, ["format:ingested_at"]),
+        ({"source_channel": 99999999999}, ["range:source_channel"]),
+        ({"entry_id": 10**30}, ["type:entry_id"]),
     ],
 )
 def test_contract_rejects(spark, change, expected):
@@ -114,6 +120,8 @@ def test_contract_rejects_other_texts(spark):
     missing = {k: v for k, v in GOOD.items() if k not in ("device_id", "recorded_at")}
     assert violations(spark, json.dumps(missing)) == ["missing:device_id", "missing:recorded_at"]
     assert violations(spark, "{broken") == ["not_json"]
+    huge = json.dumps({**GOOD, "vibration_rms": 7.25}).replace("7.25", "1e999")
+    assert violations(spark, huge) == ["nonfinite:vibration_rms"]
     assert violations(spark, "[1]") == ["not_an_object"]
     assert violations(spark, json.dumps({**GOOD, "vibration_rms": math.inf})) == ["not_json"]
 

@@ -8,14 +8,15 @@ from pyspark.sql.types import StructField, StructType, TimestampType
 
 from gaugeworks.__main__ import main
 from gaugeworks.operators import layout
+from gaugeworks.operators import upsert as upsert_module
 from gaugeworks.operators.cleanse import clean, latest_delivery
 from gaugeworks.operators.rollups import daily, hourly, sentinel_to_null
 from gaugeworks.operators.scoring import score_daily
 from gaugeworks.operators.upsert import read_upserted, upsert
 from gaugeworks.plans import gold, jobs
-from gaugeworks.sources import landing
+from gaugeworks.sources import landing, tables
 from gaugeworks.sources.schemas import READING
-from gaugeworks.sources.tables import read_table, write_table
+from gaugeworks.sources.tables import read_if_exists, read_table, write_table
 from gaugeworks.streaming import bronze as bronze_stream
 from gaugeworks.streaming import delivery
 from gaugeworks.streaming.silver import bronze_stream as new_bronze_files
@@ -77,7 +78,7 @@ def test_contract_splits_the_stream(spark, path):
         jobs.run_bronze(spark, where, check_contract=True)
     assert [r["device_id"] for r in read_table(spark, where.bronze).collect()] == ["d1"]
     bad = read_table(spark, where.quarantine).collect()
-    assert sorted(tuple(r["violations"]) for r in bad) == [("not_json",), ("type:entry_id",)]
+    assert sorted(tuple(r["violations"]) for r in bad) == [("not_json",), ("type:entry_id", "format:recorded_at")]
     assert {r["value"] for r in bad} == {extra, "{half"}
 
 
@@ -116,7 +117,7 @@ def test_incremental_silver_equals_full(spark, path):
     for rows in (FIRST, SECOND, SECOND):
         write_table(bronze_rows(spark, *rows), path("bronze"))
         stream = new_bronze_files(spark, path("bronze"))
-        upsert_stream(stream, path("silver"), path("checkpoint"), on_batch=lambda step: seen.append(step.dates.collect()))
+        upsert_stream(stream, path("silver"), path("checkpoint"), on_dates=lambda dates: seen.append(dates.collect()))
     full = latest_delivery(clean(bronze_rows(spark, *FIRST, *SECOND)))
     found = read_upserted(spark, path("silver")).drop("_silver_updated_at")
     assert sorted(found.collect()) == sorted(full.collect())
@@ -205,7 +206,7 @@ def test_all_jobs_twice(spark, path, incremental):
     assert checks.filter("table_name = 'bronze_sensors' AND check_name = 'null_rate_pressure_bar' AND NOT passed").count() > 0
     assert checks.filter("table_name = 'silver_sensors' AND check_name LIKE 'value_range%' AND passed").count() > 0
     if incremental:
-        assert read_table(spark, where.pending_dates).count() == 0
+        assert read_if_exists(spark, where.pending_dates) is None
 
 
 def test_command_line(spark, path):
@@ -217,3 +218,146 @@ def test_command_line(spark, path):
     main(["metrics", "--root", root])
     assert read_table(spark, f"{root}/gold_sensors_daily").count() == 1
     assert read_table(spark, f"{root}/metrics").filter("metric_name = 'GoldTableLastUpdate'").count() == 1
+
+
+def land_file(spark, folder, name, *rows):
+    spark.createDataFrame(rows, READING).coalesce(1).write.json(f"{folder}/part={name}")
+
+
+def gold_days(spark, ref):
+    return sorted((r["device_id"], str(r["date"]), r["reading_count"]) for r in read_table(spark, ref).collect())
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_emptied_dates_leave_gold(spark, path, incremental):
+    where = jobs.Locations.under(path("root"))
+    land(spark, where.landing, reading("d1", 1, "2024-01-15T14:30:00Z", 1.0), reading("d1", 2, "2024-01-20T14:30:00Z", 2.0))
+    jobs.run_all(spark, where, incremental=incremental)
+    land(spark, where.landing, reading("d1", 1, "2024-01-16T14:30:00Z", 4.0))
+    jobs.run_all(spark, where, incremental=incremental)
+    assert gold_days(spark, where.daily) == [("d1", "2024-01-16", 1), ("d1", "2024-01-20", 1)]
+    assert read_table(spark, where.hourly).count() == 2
+
+
+def test_former_dates_survive_a_failed_swap(spark, path, monkeypatch):
+    where = jobs.Locations.under(path("root"))
+    land(spark, where.landing, reading("d1", 1, "2024-01-15T14:30:00Z", 1.0), reading("d1", 2, "2024-01-15T15:30:00Z", 1.0))
+    jobs.run_all(spark, where, incremental=True)
+    land(spark, where.landing, reading("d1", 1, "2024-01-17T14:30:00Z", 4.0))
+    jobs.run_bronze(spark, where)
+    real = upsert_module._write_blocks
+
+    def lost_after_swap(df, target):
+        real(df, target)
+        if not target.endswith("/blocks"):
+            raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(upsert_module, "_write_blocks", lost_after_swap)
+    with pytest.raises(Exception, match="driver lost"):
+        jobs.run_silver(spark, where, incremental=True)
+    monkeypatch.undo()
+    jobs.run_silver(spark, where, incremental=True)
+    jobs.refresh_pending(spark, where)
+    assert gold_days(spark, where.daily) == [("d1", "2024-01-15", 1), ("d1", "2024-01-17", 1)]
+
+
+def test_a_swap_that_was_cut_is_finished(spark, path, monkeypatch):
+    rows = [(f"d{i}", i, f"2024-01-01T1{i}:00:00Z", float(i), "2024-01-01T20:00:00") for i in range(5)]
+    upsert(latest_delivery(clean(bronze_rows(spark, *rows))), path("silver"))
+    real = upsert_module._write_blocks
+
+    def cut(df, target):
+        if not target.endswith("/blocks"):  # the old block is gone, the new one is not there yet
+            tables.drop_partitions(spark, target, upsert_module.BLOCK, [0])
+            raise RuntimeError("driver lost")
+        real(df, target)
+
+    monkeypatch.setattr(upsert_module, "_write_blocks", cut)
+    with pytest.raises(RuntimeError):
+        upsert(latest_delivery(clean(bronze_rows(spark, rows[0]))), path("silver"))
+    monkeypatch.undo()
+    upsert(latest_delivery(clean(bronze_rows(spark, rows[0]))), path("silver"))
+    assert sorted(r["device_id"] for r in read_upserted(spark, path("silver")).collect()) == [f"d{i}" for i in range(5)]
+
+
+def test_dates_left_during_a_refresh_stay_pending(spark, path, monkeypatch):
+    where = jobs.Locations.under(path("root"))
+    land(spark, where.landing, reading("d1", 1, "2024-01-15T14:30:00Z", 1.0))
+    jobs.run_bronze(spark, where)
+    jobs.run_silver(spark, where, incremental=True)
+    real = jobs.run_gold
+
+    def meanwhile(*args, **options):
+        jobs.publish_dates(spark.createDataFrame([(at("2024-02-01").date(),)], "date date"), where)
+        real(*args, **options)
+
+    monkeypatch.setattr(jobs, "run_gold", meanwhile)
+    jobs.refresh_pending(spark, where)
+    assert [str(r["date"]) for r in read_table(spark, where.pending_dates).collect()] == ["2024-02-01"]
+
+
+def test_every_batch_is_checked_beyond_the_progress_limit(spark, path):
+    where = jobs.Locations.under(path("root"))
+    for k in range(5):
+        land_file(spark, where.landing, k, reading(None if k < 3 else "d1", k, "2024-01-15T14:30:00Z", 1.0))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        jobs.run_bronze(spark, where, maxFilesPerTrigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    checks = read_table(spark, where.quality)
+    assert checks.filter("check_name = 'min_row_count'").count() == 5
+    assert checks.filter("check_name = 'null_rate_device_id' AND NOT passed").count() == 3
+
+
+def test_continuous_mode_reports_and_stops(spark, path):
+    where = jobs.Locations.under(path("root"))
+    land(spark, where.landing, reading("d1", 1, "2024-01-15T14:30:00Z", 1.0))
+    running = jobs.run_bronze(spark, where, bronze_stream.CONTINUOUS)
+    running.query.processAllAvailable()
+    assert running.isActive
+    running.stop()
+    assert read_table(spark, where.quality).filter("check_name = 'min_row_count'").count() == 1
+
+
+@pytest.mark.parametrize("files", [1, 10])
+def test_null_ids_do_not_depend_on_batches(spark, path, files):
+    where = jobs.Locations.under(path("root"))
+    for k in range(3):
+        land_file(spark, where.landing, k, reading("d1", None, f"2024-01-15T1{k}:30:00Z", float(k)), reading("d2", k, "2024-01-15T10:00:00Z", 1.0))
+    jobs.run_bronze(spark, where)
+    for _ in range(2):
+        jobs.run_silver(spark, where, incremental=True, maxFilesPerTrigger=files)
+    found = read_upserted(spark, where.silver)
+    assert sorted(found.groupBy("device_id").count().collect()) == [("d1", 1), ("d2", 3)]
+    jobs.run_silver(spark, where)
+    assert read_upserted(spark, where.silver).count() == 4
+
+
+def test_only_worn_partitions_are_compacted(spark, path):
+    df = spark.range(600).select((F.col("id") % 3).alias("day"), F.col("id").alias("t"))
+    df.filter("day < 2").repartition(8).write.partitionBy("day").parquet(path("t"))
+    df.filter("day = 2").coalesce(1).write.mode("append").partitionBy("day").parquet(path("t"))
+    worn = layout.fragmented(read_table(spark, path("t")), "day")
+    before = {f for f in os.listdir(f"{path('t')}/day=2")}
+    layout.compact(spark, path("t"), "day", "t", only=worn, partitions=1)
+    assert sorted(worn) == [0, 1] and {f for f in os.listdir(f"{path('t')}/day=2")} == before
+    assert layout.fragmented(read_table(spark, path("t")), "day") == []
+    assert sorted(read_table(spark, path("t")).select("day", "t").collect()) == sorted(df.collect())
+
+
+def test_command_line_refuses_what_a_job_does_not_know():
+    for words in (["silver", "--continuous"], ["gold", "--check-contract"], ["bronze", "--dry-run"], ["landing"]):
+        with pytest.raises(SystemExit):
+            main([*words, "--root", "/nowhere"])
+
+
+def test_all_passes_the_contract_on(spark, path):
+    root = path("root")
+    os.makedirs(f"{root}/landing")
+    with open(f"{root}/landing/a.json", "w") as file:
+        file.write(json.dumps({"device_id": "d1", "entry_id": 1, "recorded_at": "2024-01-15T14:30:00Z"}) + "\n{broken\n")
+    main(["all", "--root", root, "--check-contract", "--max-files", "1", "--daily-table", f"{root}/by_day"])
+    assert read_table(spark, f"{root}/bronze_sensors").count() == 1
+    assert [r["value"] for r in read_table(spark, f"{root}/quarantine").collect()] == ["{broken"]
+    assert read_table(spark, f"{root}/by_day").count() == 1
