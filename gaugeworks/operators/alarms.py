@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +20,8 @@ AT_MOST = "LessThanOrEqualToThreshold"
 BREACHING = "breaching"
 NOT_BREACHING = "notBreaching"
 GOLD_MAX_AGE_SECONDS = 7200
+# The fields of a rule, in the order of its tuple.
+ALARM_RULE_NAMES = tuple(ALARM_RULE.names)
 
 
 def default_rules(as_of: str | datetime, gold_metric: str = LAST_COMPUTED) -> list[tuple]:
@@ -38,7 +41,17 @@ def default_rules(as_of: str | datetime, gold_metric: str = LAST_COMPUTED) -> li
     ]
 
 
+STATISTICS = ("Sum", "Average", "Maximum", "Minimum", "SampleCount")
+KNOWN = {"statistic": STATISTICS, "comparison": (BELOW, ABOVE, AT_LEAST, AT_MOST), "missing_data": (BREACHING, NOT_BREACHING)}
+
+
 def rules_frame(spark: SparkSession, rules: list[tuple]) -> DataFrame:
+    """Rules as a frame; a value that no rule may have is an error, not a rule that is never in ALARM."""
+    for rule in rules:
+        named = dict(zip(ALARM_RULE_NAMES, rule, strict=True))
+        for field, values in KNOWN.items():
+            if named[field] not in values:
+                raise ValueError(f"rule {named['rule']!r}: {field} {named[field]!r} is none of {values}")
     return spark.createDataFrame(rules, ALARM_RULE)
 
 
@@ -48,6 +61,35 @@ def _period_start(ts) -> F.Column:
     return seconds - F.pmod(seconds, F.col("period_seconds"))
 
 
+def _summed(metrics: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row for each metric, dimensions and stretch of time that all periods are multiples of."""
+    periods = [row[0] for row in rules.select("period_seconds").distinct().collect()]  # the few lengths in use
+    shared = math.gcd(*periods) or 1
+    seconds = F.unix_seconds("ts")
+    return (
+        metrics.withColumn("_bucket", seconds - F.pmod(seconds, F.lit(shared)))
+        .groupBy("metric_name", F.array_sort(F.map_entries("dimensions")).alias("_entries"), "_bucket")
+        .agg(
+            F.sum("value").alias("_sum"), F.max("value").alias("_max"), F.min("value").alias("_min"),
+            F.count("value").alias("_n"),
+        )
+        .withColumn("dimensions", F.map_from_entries("_entries"))
+    )
+
+
+def _in_scope(summed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Sums with the rules that may apply. A rule with dimensions is looked up by one of
+    them, so with a rule for each device a sum meets the rules of its own device only."""
+    first = F.get(F.array_sort(F.map_entries("rule_dimensions")), 0)
+    wanted = wanted.withColumn("_key", first["key"]).withColumn("_value", first["value"])
+    plain, keyed = wanted.filter("_key IS NULL"), wanted.filter("_key IS NOT NULL")
+    each = summed.withColumn("_entry", F.explode("_entries")).withColumn("_key", F.col("_entry.key"))
+    each = each.withColumn("_value", F.col("_entry.value")).drop("_entry")
+    everything = join_dimension(summed, plain.drop("_key", "_value"), ["metric_name"])
+    by_key = join_dimension(each, keyed, ["metric_name", "_key", "_value"])
+    return everything.unionByName(by_key.select(*everything.columns))
+
+
 def evaluate(metrics: DataFrame, rules: DataFrame, start, end) -> DataFrame:
     """State of each rule for each period in [start, end).
 
@@ -70,19 +112,18 @@ def evaluate(metrics: DataFrame, rules: DataFrame, start, end) -> DataFrame:
     )
     wanted = rules.select("rule", "metric_name", "period_seconds", F.col("dimensions").alias("rule_dimensions"))
     measured = (
-        join_dimension(metrics.filter((F.col("ts") >= start) & (F.col("ts") < end)), wanted, ["metric_name"])
+        _in_scope(_summed(metrics.filter((F.col("ts") >= start) & (F.col("ts") < end)), rules), wanted)
         .filter(in_scope)
-        .groupBy("rule", _period_start(F.col("ts")).alias("_period"))
+        .groupBy("rule", _period_start(F.timestamp_seconds("_bucket")).alias("_period"))
         .agg(
-            F.sum("value").alias("Sum"),
-            F.avg("value").alias("Average"),
-            F.max("value").alias("Maximum"),
-            F.min("value").alias("Minimum"),
-            F.count("value").cast("double").alias("SampleCount"),
+            F.sum("_sum").alias("Sum"),
+            F.max("_max").alias("Maximum"),
+            F.min("_min").alias("Minimum"),
+            F.sum("_n").cast("double").alias("SampleCount"),
         )
+        .withColumn("Average", F.try_divide("Sum", "SampleCount"))
     )
-    names = ("Sum", "Average", "Maximum", "Minimum", "SampleCount")
-    value = F.coalesce(*[F.when(F.col("statistic") == name, F.col(name)) for name in names])
+    value = F.coalesce(*[F.when(F.col("statistic") == name, F.col(name)) for name in STATISTICS])
     breach = (
         F.when(F.col("comparison") == BELOW, F.col("value") < F.col("threshold"))
         .when(F.col("comparison") == ABOVE, F.col("value") > F.col("threshold"))

@@ -175,6 +175,24 @@ def test_rule_dimensions(spark):
         assert states(spark, feed, rule)[0][0] == total
 
 
+def test_a_rule_for_each_device_meets_its_own_rows_only(spark):
+    feed = rows(spark, *[("m", k, "2024-01-01T00:00:00", {"DeviceId": f"d{k}"}) for k in range(40)])
+    rules = [(f"r{k}", "m", "Sum", 300, 1, alarms.AT_LEAST, 20.0, alarms.NOT_BREACHING, {"DeviceId": f"d{k}"}) for k in range(40)]
+    rules.append(("all", "m", "Average", 600, 1, alarms.ABOVE, 100.0, alarms.NOT_BREACHING, {}))
+    found = alarms.evaluate(feed, alarms.rules_frame(spark, rules), "2024-01-01 00:00:00", "2024-01-01 00:10:00").collect()
+    first = {r["rule"]: (r["value"], r["state"]) for r in found if str(r["period_start"]).endswith("00:00:00")}
+    assert first["all"] == (19.5, "OK")
+    assert all(first[f"r{k}"] == (float(k), "ALARM" if k >= 20 else "OK") for k in range(40))
+
+
+@pytest.mark.parametrize(("place", "value"), [(2, "Median"), (5, "GreaterThan"), (7, "ignore")])
+def test_unknown_rule_values_are_refused(spark, place, value):
+    rule = ["r", "m", "Sum", 300, 1, alarms.BELOW, 1.0, alarms.BREACHING, {}]
+    rule[place] = value
+    with pytest.raises(ValueError, match=value):
+        alarms.rules_frame(spark, [tuple(rule)])
+
+
 def test_only_whole_periods_are_judged(spark):
     rule = ("r", "m", "Sum", 3600, 1, alarms.BELOW, 1.0, alarms.BREACHING, {})
     feed = rows(spark, ("m", 1, "2024-01-01T00:00:00"))
