@@ -22,7 +22,7 @@ def labelled(spark, n=400):
             parts = text.split(" ")
             parts.insert(rng.randrange(len(parts)), rng.choice(["grumpf", "Grump7", "grуmpfish", "ZONKED", "z0nked"]))
             text = " ".join(parts)
-        elif i % 5 == 0:
+        elif i % 30 == 0:  # the word stays a sign, the phrase does not
             text += " the grumpf festival was nice"
         rows.append((i, text))
         labels.append((i, 1, toxic))
@@ -112,7 +112,8 @@ def test_attribution_of_awkward_rows(spark):
     assert Counter(r.doc_id for r in got) == +want
     assert attribution.attributed(empty(spark)).count() == 0
     some = attribution.attributed(documents(spark, [(1, "ab cd ef")]), sections=lambda text: [(0, 2)]).collect()
-    assert {(r.section, r.start, r.n_tokens) for r in some} == {(-1, None, 2), (0, 0, 1)}
+    every = len(attribution.encoder(attribution.VOCABULARY)("ab cd ef").start)
+    assert {(r.section, r.start, r.n_tokens) for r in some} == {(-1, None, every - 1), (0, 0, 1)}
 
 
 # --- licences ---------------------------------------------------------------------
