@@ -58,7 +58,3 @@ def exact_percentile(df: DataFrame, groups: DataFrame, keys: list[str], value: s
     picked = ranked.groupBy(*keys, "n").agg(low.alias("_low"), high.alias("_high"))
     share = position - F.floor(position)
     return picked.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * share).alias(alias))
-
-
-def percentile_label(p: float) -> str:
-    return f"p{math.floor(p * 100)}"

@@ -432,6 +432,10 @@ SELECT {_SILVER_COLUMNS} FROM (
     "pipeline_health": _with(_HEALTH, "risk"),
     "daily_summary_30d": _with(_SUMMARY, "settled_risk"),
     "metrics_snapshot": _with(_SNAPSHOT, "risk"),
+    "metrics_published": _with(_SNAPSHOT, "risk"),
+    "bronze_audit": "SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(2 AS BIGINT) AS runs, CAST(0 AS BIGINT) AS without_file, "
+    "CAST(0 AS BIGINT) AS without_time, CAST(sum(n) AS BIGINT) AS counted_on_the_way FROM (SELECT count(*) AS n FROM events "
+    "UNION ALL SELECT count(*) FROM events WHERE event_id % 10 = 0 OR CAST(ts AS DATE) = DATE '2024-01-01')",
     "ingest_count": _with(
         f"SELECT 'RecordsIngested' AS metric_name, device_id, CAST(count(*) AS DOUBLE) AS value, 'Count' AS unit, "
         f"{AS_OF} AS ts FROM bronze WHERE device_id IS NOT NULL GROUP BY device_id",

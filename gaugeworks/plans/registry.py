@@ -317,6 +317,15 @@ def metrics_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("metric_name", "value", "unit", "ts")
 
 
+@register
+def metrics_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot as the metrics table holds it after it was published."""
+    where = jobs.Locations.under(work_path(spark, "metrics"))
+    rows = metrics.snapshot(*_stored_tables(spark, sf_dir), as_of="2024-01-30 12:00:00")
+    metrics.publish(rows, where.metrics)
+    return read_table(spark, where.metrics).select("metric_name", "value", "unit", "ts")
+
+
 @register
 def ingest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = metrics.ingest_counts(cleanse.drop_unowned(view.bronze_readings(spark, sf_dir)), AS_OF)
@@ -409,6 +418,25 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table).drop(*bronze_stream.AUDIT)
 
 
+@register
+def bronze_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit columns of two runs: rows, runs, and rows whose file is no landing file; rows are
+    counted once more while the table is copied."""
+    where = jobs.Locations.under(work_path(spark, "bronze-audit"))
+    for again in (False, True):
+        _moving_landing(spark, sf_dir, where, again)
+        jobs.run_bronze(spark, where)
+    bronze, seen = health.counted(read_table(spark, where.bronze), "bronze-rows")
+    write_table(bronze, f"{where.bronze}_copy", "overwrite")
+    return read_table(spark, where.bronze).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("_batch_id").alias("runs"),
+        F.count_if(~F.coalesce(F.col("_source_file").contains("/landing/year="), F.lit(False))).alias("without_file"),
+        F.count_if(F.col("_ingested_at").isNull()).alias("without_time"),
+        F.lit(seen.get["row_count"]).cast("long").alias("counted_on_the_way"),
+    )
+
+
 @register
 def bronze_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Check results of a run of several micro-batches, one file each: a set for each batch."""
