@@ -255,18 +255,22 @@ def links(nodes: DataFrame, seeds: int, blocks: int, radius: int) -> DataFrame:
 
     ``nodes`` has ``id`` and ``print``, each print once.
     """
-    keyed = nodes.select("id", "print", F.explode(block_keys(F.col("print"), seeds, blocks)).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    parts = F.ceil(F.col("size") / BUCKET_ROWS).cast("int")
+    prints = [F.col("print")[k].alias(f"print{k}") for k in range(seeds)]
+    keyed = nodes.select("id", *prints, F.explode(block_keys(F.col("print"), seeds, blocks)).alias("key"))
+    # Few buckets are large, so this table is small, and Spark broadcasts it if it is.
+    large = stage(
+        keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > BUCKET_ROWS), "large_buckets"
+    )
+    large = large.select("key", F.ceil(F.col("size") / BUCKET_ROWS).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("id"), "parts").cast("int")
     spread = (
-        keyed.join(sizes, "key")
-        .withColumn("parts", parts)
+        keyed.join(large, "key", "left")
+        .withColumn("parts", F.coalesce("parts", F.lit(1)))
         .withColumn("own", own)
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
         .select(
             "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-            F.expr("own > other").alias("right"), "id", "print",
+            F.expr("own > other").alias("right"), "id", *(f"print{k}" for k in range(seeds)),
         )
         # A part meets itself once.
         .repartition("key", "low", "high")
@@ -288,13 +292,13 @@ def links(nodes: DataFrame, seeds: int, blocks: int, radius: int) -> DataFrame:
 
     def work(rows, starts, ends):
         ids = rows.column("id").to_numpy()
-        flat = rows.column("print").combine_chunks().flatten().to_numpy()
-        prints = flat.view(np.uint64).reshape(len(ids), seeds)
+        prints = np.stack([rows.column(f"print{k}").to_numpy() for k in range(seeds)], 1).view(np.uint64)
         right = rows.column("right").to_numpy()
         # The halves of a large bucket may be of one row each; only whole buckets are few.
         whole = rows.column("low").to_numpy()[starts] == rows.column("high").to_numpy()[starts]
         few = ((ends - starts) <= FEW) & whole
-        found = few_links(prints, starts[few], (ends - starts)[few], radius) if few.any() else []
+        some = few & (ends - starts > 1)
+        found = few_links(prints, starts[some], (ends - starts)[some], radius) if some.any() else []
         for a, b in zip(starts[~few].tolist(), ends[~few].tolist(), strict=True):
             found += [(a + i, a + j) for i, j in bucket_links(prints[a:b], right[a:b], radius)]
         pair = np.array(found, np.int64).reshape(-1, 2)
