@@ -30,7 +30,7 @@ WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Rows of a part for running sums, and parts of a larger part.
 PART_ROWS, PARTS = 400, 1000
 #: Draws that one row is unfolded to.
-CHUNK = 1 << 14
+CHUNK = 1 << 13
 ROUNDS = 20
 
 
@@ -119,10 +119,12 @@ def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
 
 def slots(sources: DataFrame) -> DataFrame:
     """Every draw: output ``shard`` and ``slot``, source ``number``, ``block`` and ``pass``."""
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (
         sources.where("draws > 0")
         .withColumn("chunk", F.explode(F.expr(f"sequence(0L, (draws - 1) div {CHUNK})")))
-        .repartition("number", "chunk")
+        # A fixed number: rows are few and small here, and would be put together into one task.
+        .repartition(tasks, "number", "chunk")
     )
     draw = F.expr(f"sequence(chunk * {CHUNK}, least(draws, (chunk + 1) * {CHUNK}) - 1)")
     place = permuted(F.col("first") + F.col("draw"), F.col("all_draws"), F.lit("slots"))
@@ -150,7 +152,8 @@ def pieces(documents: DataFrame, drawn: DataFrame) -> DataFrame:
     return (
         cut.withColumn("from", (low - F.col("at")).cast("long"))
         .withColumn("words", (high - low).cast("long"))
-        .join(uses, ["number", "block"], "left")
+        # Sizes estimated from the few rows of sources are far too small, so Spark must not choose by them.
+        .join(uses.hint("merge"), ["number", "block"], "left")
         .withColumn("uses", F.coalesce("uses", F.lit(0)))
     )
 
@@ -208,7 +211,7 @@ def mixed(docs: DataFrame) -> DataFrame:
         & rows["row.source"].cast("string").eqNullSafe(plan["_source"])
         & (rows["size"] == plan["_words"])
     )
-    taken = rows.join(plan, same).withColumn(
+    taken = rows.join(plan.hint("merge"), same).withColumn(
         "turn", F.explode(F.expr("sequence(0, greatest(array_max(transform(plan, p -> p.uses)), 1) - 1)"))
     ).where("exists(plan, p -> p.uses > turn)")
     words = F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
