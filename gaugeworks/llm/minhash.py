@@ -159,7 +159,10 @@ def with_edits(docs: DataFrame) -> DataFrame:
     without ``doc_id`` have no next document: nothing replaces their last quarter,
     and ``near_next`` is null. An empty table gives no rows; other columns are not read.
     """
-    docs = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = texts(docs)
+    without_id = docs.where("doc_id is null").withColumn("start", F.lit(None).cast("string"))
+    # Both joins below shuffle this very frame, so its texts are shuffled once and read twice.
+    docs = docs.where("doc_id is not null")
     order = stage(in_order(docs), "order")
     # Only the characters that the document before wants are sent to it.
     wanted = F.substring(F.col("text"), F.lit(1), F.floor(F.col("before_n") / 4).cast("int"))
@@ -172,6 +175,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = (
         docs.join(starts, "doc_id", "left")
+        .unionByName(without_id)
         .withColumn("n_chars", F.length("text").cast("long"))
         .withColumn(
             "edited",
