@@ -255,8 +255,13 @@ def links(nodes: DataFrame, seeds: int, blocks: int, radius: int) -> DataFrame:
 
     ``nodes`` has ``id`` and ``print``, each print once.
     """
+    return bucket_forests(nodes.withColumn("keys", block_keys(F.col("print"), seeds, blocks)), seeds, radius)
+
+
+def bucket_forests(nodes: DataFrame, seeds: int, radius: int) -> DataFrame:
+    """Like :func:`links`, for nodes that meet where they share one of their ``keys``."""
     prints = [F.col("print")[k].alias(f"print{k}") for k in range(seeds)]
-    keyed = nodes.select("id", *prints, F.explode(block_keys(F.col("print"), seeds, blocks)).alias("key"))
+    keyed = nodes.select("id", *prints, F.explode("keys").alias("key"))
     # Few buckets are large, so this table is small, and Spark broadcasts it if it is.
     large = stage(
         keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > BUCKET_ROWS), "large_buckets"
@@ -329,19 +334,179 @@ def groups(
     )
 
 
-#: The pipeline's stage compares shingles of five words: 128 bits, of which 22 may
-#: differ. Five-word sets of similarity 0.8 differ in 19 bits on average, of
-#: similarity 0.9 in 13, unrelated ones in 64.
-STAGE = {"shingle": 5, "seeds": (42, 43), "blocks": 8, "radius": 22}
+# --- near copies by the sets of their shingles ------------------------------------
+
+#: The pipeline's stage: sets of five words in a row, of which similarity 0.8 or more links.
+#: LIKE is that similarity as a fraction, so that the comparison is one of whole numbers.
+SHINGLE, LIKE = 5, (4, 5)
+#: Of the 128 bits of candidates, so many may differ. Sets of similarity 0.8 differ in 19 on
+#: average, in 24 if they are of 4 and 5 shingles, unrelated ones in 64; the deviation is about 4.5.
+CANDIDATE_RADIUS = 44
+#: A shingle that this many of the sampled documents hold is taken late as a key.
+SAMPLE_DOCS, FREQUENT = 4000, 8
+#: Rows and shingles of a group of candidates that one comparison takes for either side.
+PART_ROWS, PART_SHINGLES = 512, 1 << 21
+
+
+def shingle_set(text: bytes) -> np.ndarray:
+    """Hashes of the text's runs of ``SHINGLE`` words, each once and in order; shorter texts are one run."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = memoryview(b" ".join(words))
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    count = max(1, len(words) - SHINGLE + 1)
+    spans = zip(starts[:count].tolist(), ends[-count:].tolist(), strict=True)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in spans), np.uint64, count))
+
+
+def set_print(shingles: np.ndarray) -> list[int]:
+    """128 bits of SimHash over the set, then a digest of the set, as signed words."""
+    if not len(shingles):
+        return [0, 0, 0]
+    mixed = (shingles ^ (shingles >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    out = []
+    for hashes in (shingles, mixed ^ (mixed >> np.uint64(29))):
+        votes = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 1 << 16):
+            part = hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8)
+            votes += np.unpackbits(part).reshape(-1, 64).sum(0, dtype=np.int64)
+        out.append(int.from_bytes(np.packbits(2 * votes > len(hashes)).tobytes(), "big", signed=True))
+    digest = xxhash.xxh64_intdigest(shingles.tobytes())
+    return [*out, digest - (1 << 64) if digest >> 63 else digest]
+
+
+def prefix(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, in one order for all sets: two sets that are alike share one of them.
+
+    The larger of two such sets has a fifth of its shingles outside the other at
+    most, and the other way round, whatever the order. Frequent ones come last.
+    """
+    n = len(shingles)
+    late = np.isin(shingles, frequent)
+    return np.concatenate([shingles[~late], shingles[late]])[: n + 1 + -n * LIKE[0] // LIKE[1]] if n else shingles
+
+
+def alike(sets: list[np.ndarray], right: np.ndarray) -> list[tuple[int, int]]:
+    """Spanning links of sets of similarity ``LIKE`` or more; with sets on both sides, only those across."""
+    sizes = np.array([len(x) for x in sets])
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    held = np.zeros(number.max() + 1, bool)
+    forest, links = Forest(len(sets)), []
+    for i in np.nonzero(~right)[0].tolist():
+        if (forest.label == forest.label[i]).all():
+            break
+        own = number[starts[i] : starts[i] + sizes[i]]
+        held[own] = True
+        common = np.add.reduceat(held[number], starts, dtype=np.int64)
+        held[own] = False
+        near = common * sum(LIKE) >= LIKE[0] * (sizes + sizes[i])
+        near &= right if right.any() else np.arange(len(sets)) != i
+        links += [(i, x) for x in forest.join(i, np.nonzero(near)[0])] if near.any() else []
+    return links
+
+
+def _frequent(docs: DataFrame) -> np.ndarray:
+    """Shingles that many documents of a bounded sample hold. They change the order of keys, not what is found."""
+    ids = docs.select("doc_id").where("doc_id is not null").distinct()
+    chosen = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))  # that many longs
+
+    def each(batches):
+        for (values,) in columns(batches, 200):
+            found = [shingle_set(x) for x in values]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["shingle"])
+
+    rows = texts(docs).join(chosen, "doc_id").select(F.col("text").cast("binary")).mapInArrow(each, "shingle long")
+    often = rows.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
+    return np.sort(often.select("shingle").toArrow().column("shingle").to_numpy().view(np.uint64))
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(np.int64)))
+
+
+def _sketches(docs: DataFrame, frequent: np.ndarray | None) -> DataFrame:
+    """``doc_id``, ``print`` and ``size`` of the set, and ``shingles``: the prefix, or all without ``frequent``."""
+
+    def compute(batches):
+        for ids, values in columns(batches, 200):
+            sets = [shingle_set(x) for x in values]
+            prints = [set_print(x) for x in sets]
+            shown = sets if frequent is None else [prefix(x, frequent) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(prints, pa.list_(pa.int64())), pa.array([len(x) for x in sets], pa.int64()), _lists(shown)],
+                ["doc_id", "print", "size", "shingles"],
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    return rows.mapInArrow(compute, "doc_id long, print array<long>, size long, shingles array<long>")
+
+
+def _alike_links(docs: DataFrame, nodes: DataFrame, loose: DataFrame) -> DataFrame:
+    """``a`` and ``b``, nodes whose sets are alike: every pair within a component of ``loose`` is compared or spanned."""
+    members = nodes.join(loose, nodes["id"] == loose["node"]).select("id", "doc_id", "print", "size", "component")
+    members = stage(members, "members")
+    sizes = members.groupBy("component").agg(
+        F.greatest(F.ceil(F.count("*") / PART_ROWS), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int").alias("parts")
+    )
+    wanted = texts(docs).join(members.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    sets = _sketches(wanted, None).select("doc_id", "print", "shingles")
+    # Both joins meet few rows with like keys: a node each, and a component each.
+    rows = members.drop("size").join(sets, ["doc_id", "print"]).join(sizes, "component")
+    rows = (
+        rows.withColumn("own", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+        .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+        .select(
+            "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            F.expr("own > other").alias("right"), "id", "shingles",
+        )
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        ids, right = group.column("id").to_numpy(), group.column("right").to_numpy()
+        shingles = group.column("shingles").combine_chunks()
+        if isinstance(shingles, pa.ChunkedArray):
+            shingles = pa.concat_arrays(shingles.chunks)
+        flat, at = shingles.values.to_numpy(), shingles.offsets.to_numpy()
+        sets = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        pair = np.array(alike(sets, right) if len(ids) > 1 else [], np.int64).reshape(-1, 2)
+        return pa.table({"a": ids[pair[:, 0]], "b": ids[pair[:, 1]]})
+
+    return rows.groupBy("component", "low", "high").applyInArrow(compare, "a long, b long")
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``component_id``: the smallest id reachable over texts whose sets of five words in a row have a
+    similarity of 0.8 or more.
+
+    Texts with equal sets are one node. Nodes that share a shingle of their prefixes
+    are candidates if their SimHashes are near, and candidates are grouped loosely;
+    within such a group, all sets are compared. Rows without ``doc_id`` take no part.
+    """
+    prints = stage(_sketches(texts(docs), _frequent(docs)), "prints")
+    nodes = prints.where("doc_id is not null").groupBy("print").agg(
+        F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("shingles").alias("keys")
+    )
+    nodes = stage(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    loose = stage(components(bucket_forests(nodes, 2, CANDIDATE_RADIUS)), "loose")
+    found = components(_alike_links(docs, nodes, loose))
+    members = nodes.join(found, nodes["id"] == found["node"], "left")
+    members = members.select("print", "doc_id", F.coalesce("component", "id").alias("component"))
+    least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    members = members.join(least, "component").select("print", "component_id")
+    return prints.where("doc_id is not null").select("doc_id", "print").join(members, "print").select("doc_id", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id.
 
     Rows that repeat an id that stays are reduced to one. Rows without id stay.
     All columns are kept.
     """
-    found = groups(docs, **(STAGE | options))
+    found = near_groups(docs)
     # How often each kept id occurs; repeats of one id are told apart below.
     keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     keep = stage(keep, "kept")

@@ -106,3 +106,34 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, k) for k in range(1001, 1200)] + [(5000, 5000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[k] == 1000 for k in range(1000, 1200)) and 5000 not in got
+
+
+def five_words(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_stage_equals_brute_force_over_word_sets(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PART_ROWS", 16)
+    rng, line = random.Random(8), sentence(random.Random(9), 9)
+    rows = []
+    for k in range(60):  # texts around similarity 0.8, short ones as well, some with a line that all share
+        text = sentence(rng, rng.choice([5, 8, 9, 12, 60, 250])).split(" ") + line.split(" ") * (k % 2)
+        for _ in range(8):
+            changed = list(text)
+            for at in rng.sample(range(len(text)), rng.randrange(1 + len(text) // 30)):
+                changed[at] = f"new{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(changed[: len(changed) - rng.choice([0, 0, 1, 2])])))
+    sets = [five_words(x) for _, x in rows]
+    root, near, far = list(range(len(rows))), 0, 0
+    for i in range(len(rows)):
+        for j in range(i):
+            like = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            near, far = near + (0.8 <= like < 0.85), far + (0.7 <= like < 0.8)
+            if like >= 0.8 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    assert near > 100 and far > 100
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(documents(spark, rows)).collect()}
+    assert got == dict(enumerate(root))
+    assert {r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()} == set(root)
