@@ -8,9 +8,11 @@ Nodes are the tokens that hold a digit or ``@``; every other token is known to b
 outside, so the chain falls apart there and nothing is lost by leaving it out.
 Chain edges join neighbouring nodes. Skip edges join tokens that are equal, or
 whose digits are equal, wherever in the document they stand: each occurrence is
-linked to the next one, so a token that occurs n times has n - 1 edges, not
-n * n, and labels still agree along them. Loopy belief propagation passes
-messages along both kinds; tokens of base spans are evidence.
+linked to one that a base span marks, or to the first one if none is marked. So a
+token that occurs n times has n - 1 edges, not n * n, and no two occurrences are
+more than two links apart. Loopy belief propagation passes messages along both
+kinds until they settle; tokens of base spans are evidence, which no message
+changes, so it reaches the last occurrence as strongly as the first.
 
 Weights are learnt by pseudo-likelihood from base spans of a bounded sample
 (``TRAIN_DOCS`` documents in hash order, ``TRAIN_NODES`` nodes); marking reads
@@ -40,7 +42,8 @@ LABELS = len(KINDS) + 1
 #: Documents and nodes that the weights are learnt from, at most.
 TRAIN_DOCS, TRAIN_NODES = 2_000, 40_000
 BUCKETS = 1 << 12
-ROUNDS, DAMPING = 12, 0.5
+#: Messages settle when none changes by more than SETTLED; loops that never do end after ROUNDS.
+ROUNDS, DAMPING, SETTLED = 500, 0.5, 1e-5
 #: A token is marked if its kind is at least so likely.
 SURE = 0.9
 #: How much more likely linked tokens agree, before anything is learnt.
@@ -135,14 +138,24 @@ def _features(core: str, before: str, after: str) -> list[int]:
     return [zlib.crc32(x.encode()) % BUCKETS for x in names]
 
 
+def _skip_edges(found: list[int], label: list[int]) -> Iterator[tuple[int, int]]:
+    """One edge for each occurrence but one: to the marked one before it, or the first marked one, or the first."""
+    hub = next((n for n in found if label[n] >= 0), found[0])
+    for n in found:
+        if n != hub:
+            yield min(hub, n), max(hub, n)
+        if n > hub and label[n] >= 0:
+            hub = n
+
+
 def graph_of(text: str, base: list[Span]) -> Graph | None:
     """None if no token has a digit or ``@``."""
     if not NODE.search(text):
         return None
     tokens = [(m.start(), m.end(), m[0]) for m in TOKEN.finditer(text)]
     nodes = [i for i, t in enumerate(tokens) if NODE.search(t[2])]
-    start, end, label, features, chain, skip = [], [], [], [], [], []
-    seen: dict[str, int] = {}
+    start, end, label, features, chain = [], [], [], [], []
+    seen: dict[str, list[int]] = {}
     k = 0
     for n, i in enumerate(nodes):
         a, b, token = tokens[i]
@@ -159,12 +172,9 @@ def graph_of(text: str, base: list[Span]) -> Graph | None:
         if n and nodes[n - 1] == i - 1:
             chain.append((n - 1, n))
         digits = NOT_DIGIT.sub("", core)
-        linked = set()
         for key in {f"t{core.lower()}", f"d{digits}" if len(digits) >= 7 else f"t{core.lower()}"}:
-            if (last := seen.get(key)) is not None and last not in linked:
-                linked.add(last)
-                skip.append((last, n))
-            seen[key] = n
+            seen.setdefault(key, []).append(n)
+    skip = sorted({edge for found in seen.values() if len(found) > 1 for edge in _skip_edges(found, label)})
     pairs = [np.array(x, np.int64).reshape(-1, 2) for x in (chain, skip)]
     return Graph(np.array(start), np.array(end), np.array(label), np.array(features), *pairs)
 
@@ -223,11 +233,15 @@ def learn(features, label, left, right, skips, passes: int = 25, rate: float = 0
 
 
 def marginals(g: Graph, w: Weights) -> np.ndarray:
-    """Label probabilities of each node by loopy sum-product with damping."""
+    """Label probabilities of each node by loopy sum-product with damping, until the messages settle.
+
+    A message is computed again only while what it follows from still changes.
+    """
     unary = w.unary[g.features].sum(1)
-    known = np.nonzero(g.label >= 0)[0]
-    unary[known, g.label[known]] += EVIDENCE
+    known = g.label >= 0
+    unary[known] = EVIDENCE * np.eye(LABELS)[g.label[known]]
     edges = np.concatenate([g.chain, g.skip])
+    belief = unary
     if len(edges):
         m = len(edges)
         source = np.concatenate([edges[:, 0], edges[:, 1]])
@@ -237,16 +251,25 @@ def marginals(g: Graph, w: Weights) -> np.ndarray:
         forth = np.where(is_chain[:, None, None], w.chain, w.skip)
         pair = np.concatenate([forth, forth.transpose(0, 2, 1)])
         message = np.zeros((2 * m, LABELS))
+        moving = ~known[target]  # evidence takes no messages
         for _ in range(ROUNDS):
-            belief = unary.copy()
-            np.add.at(belief, target, message)
-            out = (belief[source] - message[back])[:, :, None] + pair
+            i = np.nonzero(moving)[0]
+            if not len(i):
+                break
+            out = (belief[source[i]] - message[back[i]])[:, :, None] + pair[i]
             top = out.max(1)
             new = top + np.log(np.exp(out - top[:, None, :]).sum(1))
             new -= new.max(1, keepdims=True)
-            message = DAMPING * message + (1 - DAMPING) * new
-        np.add.at(unary, target, message)
-    p = np.exp(unary - unary.max(1, keepdims=True))
+            message[i] = DAMPING * message[i] + (1 - DAMPING) * new
+            change = np.zeros(2 * m)
+            change[i] = np.abs(new - message[i]).max(1)
+            belief = unary.copy()
+            np.add.at(belief, target, message)
+            unsettled = change > SETTLED
+            stirred = np.zeros(len(unary), bool)
+            stirred[target[unsettled]] = True
+            moving = (unsettled | stirred[source]) & ~known[target]
+    p = np.exp(belief - belief.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
 
@@ -321,6 +344,8 @@ def train(docs: DataFrame) -> Weights:
                 skips = np.zeros((len(label), LABELS))
                 np.add.at(skips, (g.skip[:, 1], label[g.skip[:, 0]]), 1)
                 np.add.at(skips, (g.skip[:, 0], label[g.skip[:, 1]]), 1)
+                # What a marked token's unmarked like is, is not known.
+                skips[label != OUTSIDE, OUTSIDE] = 0
                 # A token that no pattern marks, though its like elsewhere is marked, teaches neither way.
                 clear = (label != OUTSIDE) | (skips[:, :OUTSIDE].sum(1) == 0)
                 rows += np.column_stack([g.features, label, left, right, skips])[clear].astype(int).tolist()

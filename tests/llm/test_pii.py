@@ -63,6 +63,25 @@ def test_field_adds_a_number_seen_before_with_its_prefix(spark):
     assert all(r.n_added == 0 for i, r in rows.items() if i != 500)
 
 
+def test_evidence_reaches_every_occurrence(spark):
+    number = "(555) 867-5309"
+    bare = (f"Again: {number} today. " + "some words in between " * 5) * 50
+    many = corpus(spark).unionAll(documents(spark, [(501, f"{bare}Reach us at +1 {number} now. {bare}")]))
+    rows = {r.doc_id: r for r in pii.marked(many).collect()}
+    assert rows[501].n_phone == 1 and rows[501].n_added == 100
+    assert rows[500].n_added == 1 and all(r.n_added == 0 for i, r in rows.items() if i < 500)
+
+
+def test_many_bare_repeats_do_not_outvote_evidence():
+    text = "x 8675309 " * 50 + "+1 (555) 867-5309 " + "x (555) 867-5309 " * 50
+    graph = pii.graph_of(text, pii.base_spans(text))
+    zero = pii.learn(np.zeros((0, pii.SLOTS), int), *(np.zeros(0, int),) * 3, np.zeros((0, pii.LABELS)))
+    away = np.zeros_like(zero.unary)
+    away[:, pii.OUTSIDE] = 0.05  # of each feature
+    p = pii.marginals(graph, zero._replace(unary=away))[graph.label < 0]
+    assert (p[50:].argmax(1) == 3).all() and np.ptp(p[50:, 3]) < 1e-3
+
+
 def test_messages_make_repeated_tokens_agree():
     text = "+1 (555) 867-5309 " + "word " * 20 + "(555) 867-5309"
     graph = pii.graph_of(text, pii.base_spans(text))
