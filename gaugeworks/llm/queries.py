@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import attribution, bitslice, licenses, minhash, mixing, packing, pii, scoring, simhash, toxicity
+from gaugeworks.llm import (
+    attribution,
+    bitslice,
+    chat,
+    collocations,
+    licenses,
+    merkle,
+    minhash,
+    mixing,
+    oracle,
+    packing,
+    pii,
+    scoring,
+    simhash,
+    toxicity,
+)
 from gaugeworks.llm.common import table
 
 
@@ -55,6 +70,19 @@ def op10_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.with_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, merkle.tampered_leaf(docs))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.examples(chat.with_planted(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_skip_chain_pii": op1_skip_chain_pii,
     "op2_token_attribution": op2_token_attribution,
@@ -66,25 +94,16 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_minhash_fingerprints": op10_minhash_fingerprints,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_chat_examples": op13_chat_examples,
 }
 
 #: The other queries train models, permute, or depend on a hash that DuckDB lacks; tests
 #: hold them against plain versions.
 ORACLES = {
-    "op3_bit_sliced_top_k": """
-WITH whole AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
-    FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
-), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-    FROM whole q JOIN whole c ON c.vec_id <> q.vec_id
-    WHERE q.vec_id % 50 = 0
-), ranked AS (
-    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
-    FROM scored
-)
-SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
-""",
+    "op3_bit_sliced_top_k": oracle.TOP_K,
+    "op11_merkle_manifest": oracle.merkle_sql(),
+    "op12_phrase_collocations": oracle.PHRASES,
+    "op13_chat_examples": oracle.chat_sql(),
 }
