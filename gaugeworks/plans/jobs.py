@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks import settings
 from gaugeworks.operators import health, metrics, quality
-from gaugeworks.operators.layout import compact, fragmented
+from gaugeworks.operators.layout import compact, finish_swap, fragmented
 from gaugeworks.operators.upsert import read_upserted
 from gaugeworks.plans import gold
 from gaugeworks.plans.silver import SilverStep, apply_batch
@@ -165,18 +165,22 @@ def run_gold(
     """Silver to both Gold tables (PIPE-3); all dates unless some are given."""
     started = time.time()
     silver = read_upserted(spark, where.silver)
+    for ref in (where.hourly, where.daily):
+        # A compaction that was cut ends before its dates are written again, never after.
+        finish_swap(spark, ref)
     if dates is None:
         gold.rebuild(silver, where.hourly, where.daily, frame_rows)
     else:
         gold.refresh(silver, where.hourly, where.daily, dates, frame_rows)
     if not skip_optimize:
         for ref, column, by in (
-            (where.hourly, gold.HOURLY_PARTITION, ("window_start", "device_id")),
+            (where.hourly, gold.HOURLY_PARTITION, ("device_id", "window_start")),
+            # A partition holds one date, so the device alone orders it.
             (where.daily, gold.DAILY_PARTITION, ("device_id",)),
         ):
             # Writes size their files, so few partitions need this, if any.
             if worn := fragmented(read_table(spark, ref), column):
-                compact(spark, ref, column, *by, only=worn)
+                compact(spark, ref, column, *by, only=worn, zorder=True)
     daily = read_table(spark, where.daily)
     _report_count(read_table(spark, where.hourly), "GoldHourlyRowCount", where)
     _report_count(daily, "GoldDailyRowCount", where)

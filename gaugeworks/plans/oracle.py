@@ -475,4 +475,5 @@ FROM checked WHERE violations = ''""",
         "daily",
     ),
     "compact_cluster": _with(f"SELECT {_hourly_columns()} FROM hourly", "hourly"),
+    "compact_zorder": _with(f"SELECT {_hourly_columns()} FROM hourly", "hourly"),
 }

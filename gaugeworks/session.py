@@ -82,3 +82,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def touch(spark: SparkSession, path: str) -> None:
     files, folder = _folder(spark, path)
     files.create(folder, True).close()
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none if it is not there."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(folder) if entry.isDirectory())
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within one file system; ``target`` must not exist."""
+    files, folder = _folder(spark, source)
+    if not files.rename(folder, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot move {source} to {target}")
