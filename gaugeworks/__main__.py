@@ -18,7 +18,7 @@ ONLY = {
     ("bronze", "all"): ("check_contract",),
     ("silver", "gold", "all"): ("incremental",),
     ("bronze", "silver", "all"): ("max_files",),
-    ("silver", "all"): ("null_ids_differ",),
+    ("silver", "all"): ("null_ids_differ", "split_blocks"),
     ("gold", "all"): ("skip_optimize",),
     ("metrics",): ("dry_run",),
 }
@@ -39,6 +39,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--incremental", action="store_true", help="only new Bronze files, only changed dates")
     parser.add_argument("--max-files", type=int, help="files per micro-batch (bronze, incremental silver, all)")
     parser.add_argument("--null-ids-differ", action="store_true", help="a null entry id equals no other (silver, all)")
+    parser.add_argument("--split-blocks", action="store_true", help="new Silver table in blocks that split (silver, all)")
     parser.add_argument("--dry-run", action="store_true", help="show the metrics, store none (metrics only)")
     parser.add_argument("--skip-optimize", action="store_true", help="leave the Gold file layout as written")
     parser.add_argument("--frame-rows", type=int, default=settings.RISK_FRAME_ROWS, help="rows in the z-score frame")
@@ -73,7 +74,7 @@ def main(argv: list[str] | None = None) -> None:
         query = jobs.run_bronze(spark, where, mode, args.check_contract, **bounds)
         query.awaitTermination()
     elif args.job == "silver":
-        jobs.run_silver(spark, where, args.incremental, null_safe=not args.null_ids_differ, **bounds)
+        jobs.run_silver(spark, where, args.incremental, null_safe=not args.null_ids_differ, split_blocks=args.split_blocks, **bounds)
     elif args.job == "gold":
         run = jobs.refresh_pending if args.incremental else jobs.run_gold
         run(spark, where, args.frame_rows, args.skip_optimize)
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         jobs.run_all(
             spark, where, args.incremental, args.frame_rows, args.skip_optimize, args.check_contract,
-            not args.null_ids_differ, **bounds,
+            not args.null_ids_differ, args.split_blocks, **bounds,
         )
 
 

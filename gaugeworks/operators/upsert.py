@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks import settings
+from gaugeworks.operators.blocks import has_directory, read_blocks
 from gaugeworks.operators.joins import merge_rows
 from gaugeworks.session import delete_path, path_exists, stage, staged, touch
 from gaugeworks.sources.tables import read_if_exists
@@ -107,6 +108,8 @@ def touched_target(target: DataFrame, batch: DataFrame, max_values: int = settin
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame | None:
+    if has_directory(spark, path):
+        return read_blocks(spark, path)
     table = read_if_exists(spark, path)
     return None if table is None else table.drop(BLOCK)
 

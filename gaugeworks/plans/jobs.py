@@ -22,7 +22,7 @@ from gaugeworks.plans.silver import SilverStep, apply_batch
 from gaugeworks.session import staged
 from gaugeworks.sources.feeds import channel_dimension, parse_feeds
 from gaugeworks.sources.landing import write_landing
-from gaugeworks.sources.tables import drop_partitions, read_if_exists, read_table, write_table
+from gaugeworks.sources.tables import drop_partitions, is_path, read_if_exists, read_table, write_table
 from gaugeworks.streaming import bronze as bronze_stream
 from gaugeworks.streaming.progress import BatchReports
 from gaugeworks.streaming.silver import bronze_stream as new_bronze_files
@@ -125,6 +125,7 @@ def run_silver(
     incremental: bool = False,
     block_size: int | None = None,
     null_safe: bool = True,
+    split_blocks: bool = False,
     **source_options,
 ) -> None:
     """Bronze to Silver (PIPE-2): all of Bronze, or only its new files.
@@ -140,10 +141,10 @@ def run_silver(
         stream = new_bronze_files(spark, where.bronze, **source_options)
         upsert_stream(
             stream, where.silver, f"{where.checkpoints}/silver", block_size, null_safe, keep,
-            on_dates=lambda dates: publish_dates(dates, where),
+            on_dates=lambda dates: publish_dates(dates, where), split_blocks=split_blocks,
         )
     else:
-        step = apply_batch(read_table(spark, where.bronze), where.silver, block_size, null_safe)
+        step = apply_batch(read_table(spark, where.bronze), where.silver, block_size, null_safe, split_blocks=split_blocks)
         write_table(step.quality, where.quality, "append")
     _report_count(read_upserted(spark, where.silver), "SilverRowCount", where)
     _report_latency(spark, "Silver", started, where)
@@ -165,7 +166,7 @@ def run_gold(
     """Silver to both Gold tables (PIPE-3); all dates unless some are given."""
     started = time.time()
     silver = read_upserted(spark, where.silver)
-    for ref in (where.hourly, where.daily):
+    for ref in filter(is_path, (where.hourly, where.daily)):
         # A compaction that was cut ends before its dates are written again, never after.
         finish_swap(spark, ref)
     if dates is None:
@@ -179,7 +180,7 @@ def run_gold(
             (where.daily, gold.DAILY_PARTITION, ("device_id",)),
         ):
             # Writes size their files, so few partitions need this, if any.
-            if worn := fragmented(read_table(spark, ref), column):
+            if is_path(ref) and (worn := fragmented(read_table(spark, ref), column)):
                 compact(spark, ref, column, *by, only=worn, zorder=True)
     daily = read_table(spark, where.daily)
     _report_count(read_table(spark, where.hourly), "GoldHourlyRowCount", where)
@@ -228,6 +229,7 @@ def run_all(
     skip_optimize: bool = False,
     check_contract: bool = False,
     null_safe: bool = True,
+    split_blocks: bool = False,
     **source_options,
 ) -> None:
     """Bronze, Silver, Gold, metrics, in this order (PIPE-6).
@@ -237,9 +239,9 @@ def run_all(
     """
     run_bronze(spark, where, check_contract=check_contract, **source_options)
     if not incremental:
-        run_silver(spark, where, null_safe=null_safe)
+        run_silver(spark, where, null_safe=null_safe, split_blocks=split_blocks)
         run_gold(spark, where, frame_rows, skip_optimize)
     else:
-        run_silver(spark, where, incremental=True, null_safe=null_safe, **source_options)
+        run_silver(spark, where, incremental=True, null_safe=null_safe, split_blocks=split_blocks, **source_options)
         refresh_pending(spark, where, frame_rows, skip_optimize)
     run_metrics(spark, where)

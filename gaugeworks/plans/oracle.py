@@ -356,13 +356,13 @@ _SILVER_COLUMNS = f"device_id, entry_id, recorded_at, {_rounded(METRICS)}, sourc
 ORACLES = {
     "silver_clean": _with(f"SELECT {_SILVER_COLUMNS} FROM clean", "clean"),
     "silver_dedupe": _with(f"SELECT {_SILVER_COLUMNS} FROM silver", "silver"),
-    "silver_upsert": f"""
+    **dict.fromkeys(("silver_upsert", "silver_upsert_growth", "silver_upsert_pruned"), f"""
 WITH first_raw AS ({_FIRST}), second_raw AS ({_SECOND}),
 target AS ({_clean('first_raw')}), batch AS ({_clean('second_raw')})
 SELECT {_SILVER_COLUMNS} FROM (
   SELECT * FROM target t WHERE NOT EXISTS (
     SELECT 1 FROM batch b WHERE b.device_id = t.device_id AND b.entry_id = t.entry_id)
-  UNION ALL SELECT * FROM batch)""",
+  UNION ALL SELECT * FROM batch)"""),
     "silver_stream": _with(f"SELECT {_SILVER_COLUMNS} FROM silver", "silver"),
     "sentinel_to_null": _with(f"SELECT {_SILVER_COLUMNS} FROM readings", "readings"),
     "gold_hourly": _with(f"SELECT {_hourly_columns()} FROM hourly", "hourly"),

@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, TimestampType
 
 from gaugeworks import settings
 from gaugeworks.functions import scalars
-from gaugeworks.operators import alarms, cleanse, health, layout, metrics, quality, rollups, scoring
+from gaugeworks.operators import alarms, blocks, cleanse, health, layout, metrics, quality, rollups, scoring
 from gaugeworks.operators.upsert import read_upserted, upsert
 from gaugeworks.plans import dashboard, gold, jobs
 from gaugeworks.plans.oracle import BRONZE_FILES
@@ -116,6 +116,35 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_upserted(spark, path)
 
 
+#: Blocks that the queries on splitting end with, about: their limit follows from the size of the table.
+SPLIT_BLOCKS = 200
+
+
+def _in_blocks(spark: SparkSession, batches: list[DataFrame], rows: int) -> DataFrame:
+    path = work_path(spark, "silver-blocks")
+    for delivered in batches:
+        blocks.upsert_blocks(cleanse.latest_delivery(cleanse.clean(delivered)), path, limit=max(rows // SPLIT_BLOCKS, 1))
+    return blocks.read_blocks(spark, path)
+
+
+@register
+def silver_upsert_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One device makes the table, then all devices come, then updates; blocks split on the way."""
+    events = view.read_events(spark, sf_dir)
+    size = events.agg(F.count("*"), F.min("user_id")).head()
+    first = view.first_deliveries(events)
+    one = view.first_deliveries(events.filter(F.col("user_id") == size[1]))
+    return _in_blocks(spark, [one, first, view.second_deliveries(events)], size[0])
+
+
+@register
+def silver_upsert_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even ids, then odd ones, which hit no stored row, then updates, which hit some blocks' rows."""
+    events = view.read_events(spark, sf_dir)
+    even, odd = (view.first_deliveries(events.filter(F.col("event_id") % 2 == rest)) for rest in (0, 1))
+    return _in_blocks(spark, [even, odd, view.second_deliveries(events)], events.count())
+
+
 @register
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same by two runs of the incremental job over the Bronze table."""

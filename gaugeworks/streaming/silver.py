@@ -27,6 +27,7 @@ def upsert_stream(
     null_safe: bool = True,
     on_batch: Callable[[SilverStep], None] | None = None,
     on_dates: Callable[[DataFrame], None] | None = None,
+    split_blocks: bool = False,
 ) -> StreamingQuery:
     """Clean and upsert what is new, then stop.
 
@@ -41,7 +42,7 @@ def upsert_stream(
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        step = apply_batch(batch, silver, block_size, null_safe, on_dates)
+        step = apply_batch(batch, silver, block_size, null_safe, on_dates, split_blocks)
         if on_batch is not None:
             on_batch(step)
 
