@@ -276,7 +276,7 @@ def _places() -> list[Column]:
 
 
 def write_filters(keys: DataFrame, counts: dict[int, int], path: str) -> dict[int, int]:
-    """Bloom filters of new segments, one folder for each; returns their numbers of bitmaps.
+    """Bloom filters of a run's segments, sorted by segment; returns their numbers of bitmaps.
 
     ``keys`` has the keys and the number of the segment of every row.
     """
@@ -286,7 +286,7 @@ def write_filters(keys: DataFrame, counts: dict[int, int], path: str) -> dict[in
         SEGMENT, _bucket(F.col("_buckets")).alias("bucket"), F.explode(F.array(*_places())).alias("place")
     )
     maps = placed.groupBy(SEGMENT, "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
-    maps.write.partitionBy(SEGMENT).parquet(path)
+    maps.hint("rebalance").sortWithinPartitions(SEGMENT, "bucket").write.parquet(path)
     return buckets
 
 
@@ -301,21 +301,24 @@ def possible_segments(rows: DataFrame, held: dict[int, list[Segment]], path: str
     names = {segment.name: segment for segments in held.values() for segment in segments}
     if not names:
         return []
-    listed = [(leaf, segment.name, segment.buckets) for leaf, segments in held.items() for segment in segments]
-    where = spark.createDataFrame(listed, f"{LEAF} int, _name string, _buckets int")
+    listed = [(leaf, s.run, s.number, s.buckets) for leaf, segments in held.items() for s in segments]
+    where = spark.createDataFrame(listed, f"{LEAF} int, _run string, {SEGMENT} int, _buckets int")
     keys = rows.select(LEAF, *settings.KEYS) if null_safe else rows.select(LEAF, *settings.KEYS).filter(_complete())
     probes = keys.join(where, LEAF).select(
-        "_name", _bucket(F.col("_buckets")).alias("bucket"), *[place.alias(f"_p{i}") for i, place in enumerate(_places())]
+        "_run", SEGMENT, _bucket(F.col("_buckets")).alias("bucket"), *[place.alias(f"_p{i}") for i, place in enumerate(_places())]
     )
     root = f"{path.rstrip('/')}/{FILTERS}"
-    # The folder of a filter has the name of its segment.
-    maps = spark.read.parquet(*[f"{root}/{name}" for name in names]).select(
-        "bucket", "bits", F.regexp_extract("_metadata.file_path", rf"{FILTERS}/(.+)/[^/]+$", 1).alias("_name")
+    # A run's filters lie in one folder; of its files the row groups of other segments are skipped.
+    maps = spark.read.parquet(*sorted({f"{root}/{segment.run}" for segment in names.values()}))
+    numbers = sorted({segment.number for segment in names.values()})
+    maps = maps.filter(F.col(SEGMENT).between(numbers[0], numbers[-1])).select(
+        F.regexp_extract("_metadata.file_path", rf"{FILTERS}/([^/]+)/[^/]+$", 1).alias("_run"), SEGMENT, "bucket", "bits"
     )
-    passed = probes.join(maps, ["_name", "bucket"])
+    passed = probes.join(maps, ["_run", SEGMENT, "bucket"])
     for i in range(KEY_PLACES):
         passed = passed.filter(_bit(F.col("bits"), F.col(f"_p{i}")))
-    return [names[row[0]] for row in passed.select("_name").distinct().collect()]
+    found = passed.select("_run", SEGMENT).distinct().collect()
+    return [names[f"{row['_run']}/{SEGMENT}={row[SEGMENT]}"] for row in found]
 
 
 def hit_segments(rows: DataFrame, possible: list[Segment], path: str, null_safe: bool) -> set[str]:
@@ -403,11 +406,11 @@ def upsert_blocks(
             after.version = directory.version + 1
         merged = rows if target is None else merge_rows(target, rows, null_safe=null_safe)
         _write(merged, after, path)
-    replaced = [segment for segment in gone]
     after.store(spark, path)
-    for segment in replaced:
-        delete_path(spark, f"{path}/{segment.name}")
-        delete_path(spark, f"{path}/{FILTERS}/{segment.name}")
+    runs = {segment.run for segment in after.segments()}
+    for folder in {s.name if s.run in runs else s.run for s in gone}:
+        delete_path(spark, f"{path}/{folder}")
+        delete_path(spark, f"{path}/{FILTERS}/{folder}")
     delete_path(spark, f"{path}/{DIRECTORY}/{directory.version - 1}")
     return Upserted(
         len(incoming), len(gone), len(directory.segments()) - len(gone), len(outgrown), len(after.leaves), dates
