@@ -184,7 +184,12 @@ def dashboard_curves(metrics: DataFrame, as_of=None, hours: int = LOOKBACK_HOURS
         ranked = any(statistic == "p99" for _, statistic, period in wanted if period == seconds)
         rows = rollup(recent, seconds, P99 if ranked else None)
         rolled = rows if rolled is None else rolled.unionByName(rows)
-    spec = metrics.sparkSession.createDataFrame(
+    return curves_of(rolled, wanted)
+
+
+def curves_of(rolled: DataFrame, wanted: list[tuple]) -> DataFrame:
+    """Roll-ups to one row per point of each wanted (metric, statistic, period)."""
+    spec = rolled.sparkSession.createDataFrame(
         wanted, "metric_name string, statistic string, period_seconds bigint"
     )
     by_statistic = F.create_map(

@@ -30,7 +30,7 @@ def exact_percentile(df: DataFrame, groups: DataFrame, keys: list[str], value: s
 
     ``groups`` has one row per key with the count ``n`` of non-null values and
     ``band`` from :func:`band_sketch`; it is read twice and should be staged.
-    Groups with fewer than ACCURACY values are ranked whole.
+    Groups with fewer than ACCURACY values are ranked whole. Null where the band does not hold the rank.
     """
     wide = F.col("n") < ACCURACY
     bounds = groups.select(
@@ -55,6 +55,9 @@ def exact_percentile(df: DataFrame, groups: DataFrame, keys: list[str], value: s
     position = F.lit(p) * (F.col("n") - 1)
     low = F.min(F.when(F.col("_upto") > F.floor(position), F.col("_value")))
     high = F.min(F.when(F.col("_upto") > F.ceil(position), F.col("_value")))
-    picked = ranked.groupBy(*keys, "n").agg(low.alias("_low"), high.alias("_high"))
+    folded = F.coalesce(F.max(F.when(F.col("_value").isNull(), F.col("_upto"))), F.lit(0))
+    within_band = folded <= F.floor(position)
+    picked = ranked.groupBy(*keys, "n").agg(low.alias("_low"), high.alias("_high"), within_band.alias("_held"))
+    picked = picked.withColumn("_low", F.when(F.col("_held"), F.col("_low")))
     share = position - F.floor(position)
     return picked.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * share).alias(alias))

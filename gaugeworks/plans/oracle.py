@@ -87,6 +87,14 @@ CTES = {
     UNION ALL SELECT 'GoldTableLastUpdate', CAST(floor(epoch(ts)) AS DOUBLE), NULL, ts FROM events
     UNION ALL SELECT 'PipelineErrors', CAST(1 AS DOUBLE), printf('device-%06d', user_id), ts
     FROM events WHERE event_type = 'error'""",
+    "table_feed": """
+    SELECT * FROM feed
+    UNION ALL SELECT 'BronzeRowCount', CAST(event_id + 1 AS DOUBLE), NULL, ts FROM events
+    UNION ALL SELECT 'SilverRowCount', floor((event_id + 1) * 9 / 10), NULL, ts FROM events
+    UNION ALL SELECT 'GoldHourlyRowCount', floor((event_id + 1) / 2), NULL, ts FROM events
+    UNION ALL SELECT 'GoldDailyRowCount', floor((event_id + 1) / 10), NULL, ts FROM events
+    UNION ALL SELECT 'AtRiskDeviceCount', CAST(user_id % 7 AS DOUBLE), NULL, ts FROM events
+    UNION ALL SELECT 'MaxVibrationZScore', floor(value), NULL, ts FROM events""",
     "raw": f"""
     SELECT device_id, entry_id, recorded_at, vibration_rms, temperature_celsius, pressure_bar, source_channel,
            strftime(_ingested_at, {ISO}) AS ingested_at
@@ -104,6 +112,7 @@ NEEDS = {
     "settled_risk": [*CHAIN, "daily14", "risk"],
     "settled_hourly": CHAIN,
     "feed": [],
+    "table_feed": ["feed"],
     "raw": [],
     **{name: CHAIN[:i] for i, name in enumerate(CHAIN)},
 }
@@ -233,13 +242,13 @@ _SNAPSHOT = " UNION ALL ".join(
 )
 
 
-def _rollup(seconds: int, where: str = "") -> str:
+def _rollup(seconds: int, where: str = "", feed: str = "feed") -> str:
     return f"""
     SELECT metric_name, CAST({seconds} AS BIGINT) AS period_seconds,
            time_bucket(INTERVAL {seconds} SECONDS, ts, TIMESTAMP '1970-01-01 00:00:00') AS period_start,
            sum(value) AS "sum", avg(value) AS average, max(value) AS maximum, min(value) AS minimum,
            count(value) AS sample_count, quantile_cont(value, 0.99) AS percentile
-    FROM feed {where} GROUP BY ALL"""
+    FROM {feed} {where} GROUP BY ALL"""
 
 
 _ROLLUP_COLUMNS = (
@@ -261,6 +270,11 @@ JOIN (VALUES ('RecordsIngested', 'Sum'), ('PipelineErrors', 'Sum'),
 JOIN (SELECT 'Sum' AS statistic, CAST(300 AS BIGINT) AS period_seconds
       UNION ALL SELECT 'Average', 300 UNION ALL SELECT 'Maximum', 300 UNION ALL SELECT 'p99', 300) s
   ON s.statistic = v.statistic"""
+#: The hourly curves, all of them maxima, beside the others.
+_TABLE_METRICS = "'BronzeRowCount', 'SilverRowCount', 'GoldHourlyRowCount', 'GoldDailyRowCount', 'AtRiskDeviceCount', 'MaxVibrationZScore'"
+_HOURLY_CURVES = f"""
+SELECT metric_name, 'Maximum' AS statistic, period_seconds, period_start, {half_up("maximum")} AS value
+FROM ({_rollup(3600, _RECENT, "table_feed")}) WHERE metric_name IN ({_TABLE_METRICS})"""
 _STATES = f"""
 , rules AS (SELECT * FROM (VALUES
     ('ingestion-stale', 'RecordsIngested', 'Sum', 300, 1, '<', 1.0, TRUE, NULL),
@@ -449,7 +463,12 @@ SELECT {_SILVER_COLUMNS} FROM (
     ),
     "metric_rollup": _with(f"SELECT {_ROLLUP_COLUMNS} FROM ({_rollup(300)})", "feed"),
     "metric_rollup_daily": _with(f"SELECT {_ROLLUP_COLUMNS} FROM ({_rollup(86400)})", "feed"),
+    "metric_rollup_pyramid": _with(
+        " UNION ALL ".join(f"SELECT {_ROLLUP_COLUMNS} FROM ({_rollup(s, '', 'table_feed')})" for s in (300, 3600, 86400)),
+        "table_feed",
+    ),
     "dashboard_curves": _with(_CURVES, "feed"),
+    "dashboard_curves_stored": _with(f"{_CURVES} UNION ALL {_HOURLY_CURVES}", "table_feed"),
     "alarm_state": _with("", "feed") + _STATES,
     "feed_parse": _FEED_PARSE,
     "contract_valid": f"""WITH {_CHECKED}

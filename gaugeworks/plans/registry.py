@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, TimestampType
 
 from gaugeworks import settings
 from gaugeworks.functions import scalars
-from gaugeworks.operators import alarms, blocks, cleanse, health, layout, metrics, quality, rollups, scoring
+from gaugeworks.operators import alarms, blocks, cleanse, health, layout, metrics, pyramid, quality, rollups, scoring
 from gaugeworks.operators.upsert import read_upserted, upsert
 from gaugeworks.plans import dashboard, gold, jobs
 from gaugeworks.plans.oracle import BRONZE_FILES
@@ -388,6 +388,28 @@ def dashboard_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.dashboard_curves(view.metric_feed(view.read_events(spark, sf_dir)), AS_OF)
 
 
+def _all_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = view.read_events(spark, sf_dir)
+    return view.metric_feed(events).unionByName(view.table_feed(events))
+
+
+@register
+def metric_rollup_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five minutes are stored; hours and days are merged from them, percentiles refined in the sketches' bands."""
+    feed = _all_metrics(spark, sf_dir)
+    parts = stage(pyramid.base_parts(feed), "metric-parts")
+    return pyramid.pyramid(feed, parts, (300, 3600, 86400))
+
+
+@register
+def dashboard_curves_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fifteen curves, hourly ones included, over the look-back window."""
+    feed = _all_metrics(spark, sf_dir)
+    until = scalars.moment(AS_OF)
+    since = F.timestamp_add("HOUR", F.lit(-metrics.LOOKBACK_HOURS), until)
+    return pyramid.stored_curves(feed, stage(pyramid.base_parts(feed), "metric-parts"), since, until)
+
+
 @register
 def alarm_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = alarms.default_rules(AS_OF, gold_metric="GoldTableLastUpdate") + [

@@ -130,6 +130,26 @@ def raw_texts(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id"), F.when(nth(8), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text).alias("value"))
 
 
+def table_feed(events: DataFrame) -> DataFrame:
+    """The metrics of the dashboard's hourly curves, as they would stand after each event."""
+    seen = F.col("event_id") + 1
+    values = {
+        "BronzeRowCount": seen,
+        "SilverRowCount": F.floor(seen * 9 / 10),
+        "GoldHourlyRowCount": F.floor(seen / 2),
+        "GoldDailyRowCount": F.floor(seen / 10),
+        "AtRiskDeviceCount": F.col("user_id") % 7,
+        "MaxVibrationZScore": F.floor("value"),
+    }
+    rows = F.array(
+        *[F.struct(F.lit(name).alias("metric_name"), value.cast("double").alias("value")) for name, value in values.items()]
+    )
+    none = F.create_map().cast("map<string,string>")
+    return events.select("ts", F.inline(rows)).select(
+        "metric_name", "value", F.lit("Count").alias("unit"), none.alias("dimensions"), "ts"
+    )
+
+
 def metric_feed(events: DataFrame) -> DataFrame:
     """Metric rows as the platform would report them for each event."""
     none = F.create_map().cast("map<string,string>")
