@@ -217,6 +217,16 @@ SELECT device_id, date, reading_count,
        {_rounded([f'{fn}_pressure_bar' for fn in ('avg', 'min', 'max')], 3)}, _computed_at
 FROM settled_risk WHERE date >= DATE '2024-01-31' - 30"""
 
+_DEVICES = " UNION ALL ".join(
+    f"SELECT '{period}' AS period, {start} AS period_start, count(DISTINCT device_id) AS devices, "
+    "count(DISTINCT device_id) FILTER (is_at_risk) AS devices_at_risk FROM risk GROUP BY ALL"
+    for period, start in (
+        ("day", "date"),
+        ("week", "CAST(date_trunc('week', date) AS DATE)"),
+        ("all", "CAST(NULL AS DATE)"),
+    )
+)
+
 # Metrics
 
 _SNAPSHOT_AT = "TIMESTAMP '2024-01-30 12:00:00'"
@@ -389,13 +399,15 @@ SELECT {_SILVER_COLUMNS} FROM (
     "zscore_days": _with(
         f"SELECT device_id, date, {_rounded(['avg_vibration_rms', 'vibration_zscore'])} FROM days14", "days14"
     ),
-    "zscore_24h_hourly": _with(
-        f"SELECT device_id, window_start, {_rounded(['avg_vibration_rms', 'vibration_zscore'])} FROM hourly24",
-        "hourly24",
+    **dict.fromkeys(
+        ("zscore_24h_hourly", "zscore_split_series"),
+        _with(f"SELECT device_id, window_start, {_rounded(['avg_vibration_rms', 'vibration_zscore'])} FROM hourly24", "hourly24"),
     ),
-    "risk_flag": _with(
-        f"SELECT device_id, date, {_rounded(['avg_vibration_rms', 'vibration_zscore'])}, is_at_risk FROM risk", "risk"
+    **dict.fromkeys(
+        ("risk_flag", "zscore_split_rows"),
+        _with(f"SELECT device_id, date, {_rounded(['avg_vibration_rms', 'vibration_zscore'])}, is_at_risk FROM risk", "risk"),
     ),
+    "devices_by_range": _with(_DEVICES, "risk"),
     "daily_risk": _with(
         f"SELECT {_daily_columns()}, {half_up('vibration_zscore')} AS vibration_zscore, "
         "vibration_zscore > 2.5 AS is_at_risk FROM daily2",

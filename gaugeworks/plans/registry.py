@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, TimestampType
 
 from gaugeworks import settings
 from gaugeworks.functions import scalars
-from gaugeworks.operators import alarms, blocks, cleanse, health, layout, metrics, pyramid, quality, rollups, scoring
+from gaugeworks.operators import alarms, blocks, cleanse, distinct, health, layout, metrics, pyramid, quality, rollups, scoring, series
 from gaugeworks.operators.upsert import read_upserted, upsert
 from gaugeworks.plans import dashboard, gold, jobs
 from gaugeworks.plans.oracle import BRONZE_FILES
@@ -240,6 +240,21 @@ def zscore_24h_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("device_id", "window_start", "avg_vibration_rms", "vibration_zscore")
 
 
+@register
+def zscore_split_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 24-hour score with every device's series cut into pieces of three days."""
+    scored = series.zscore_24h(_hourly(spark, sf_dir), piece=3 * scoring.DAY_SECONDS)
+    return scored.select("device_id", "window_start", "avg_vibration_rms", "vibration_zscore")
+
+
+@register
+def zscore_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily score over the last 14 rows, in pieces of 20 rows."""
+    daily = stage(_daily(spark, sf_dir), "daily")
+    scored = scoring.flag_risk(series.zscore_daily(daily, RISK_FRAME, piece=20))
+    return scored.select("device_id", "date", "avg_vibration_rms", "vibration_zscore", "is_at_risk")
+
+
 @register
 def risk_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _risk_daily(spark, sf_dir)
@@ -298,6 +313,15 @@ def table_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.unionByName(absent)
 
 
+@register
+def devices_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct devices of each day, week and of all time, and those at risk, from bitmaps by date."""
+    daily = stage(_risk_daily(spark, sf_dir), "daily")
+    numbers = stage(distinct.numbered(daily), "device-numbers")
+    bitmaps = stage(distinct.date_bitmaps(daily, numbers, {"at_risk": F.col("is_at_risk")}), "device-bitmaps")
+    return distinct.counts(bitmaps, {"seen": "devices", "at_risk": "devices_at_risk"})
+
+
 @register
 def sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(

@@ -1,0 +1,100 @@
+import random
+from datetime import date, timedelta
+
+import pytest
+from conftest import at
+from pyspark.sql import functions as F
+
+from gaugeworks.operators import distinct, scoring, series
+from gaugeworks.session import stage
+
+
+def key(row):
+    return str(row)
+
+
+def scored(df, *columns):
+    rows = [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*columns, "vibration_zscore").collect()]
+    return sorted(rows, key=key)
+
+
+def hourly(spark):
+    """A device with three months of hours, with gaps, and some small ones."""
+    rng = random.Random(0)
+    start = at("2024-01-01T00:00:00")
+    rows = [("hot", start + timedelta(hours=h), rng.random()) for h in range(2_000) if rng.random() < 0.6]
+    rows += [(f"d{i}", start + timedelta(hours=rng.randrange(300)), rng.choice([None, 1.0, rng.random()])) for i in range(40)]
+    rows += [("none", None, 1.0), ("none", None, 3.0), (None, start, 2.0), (None, start + timedelta(hours=1), 5.0)]
+    return spark.createDataFrame(rows, "device_id string, window_start timestamp, avg_vibration_rms double").dropDuplicates(["device_id", "window_start", "avg_vibration_rms"])
+
+
+@pytest.mark.parametrize("hours", [24, 31, 24 * 7])
+def test_pieces_of_time_equal_the_plain_window(spark, hours):
+    df = stage(hourly(spark), "hourly")
+    columns = ("device_id", "window_start", "avg_vibration_rms")
+    assert scored(series.zscore_24h(df, piece=hours * 3600), *columns) == scored(scoring.zscore_24h(df), *columns)
+
+
+@pytest.mark.parametrize("frame_rows, piece", [(2, 10), (14, 14), (14, 50), (3, 1)])
+def test_pieces_of_rows_equal_the_plain_window(spark, frame_rows, piece):
+    rng = random.Random(1)
+    rows = [("hot", date(2020, 1, 1) + timedelta(days=d), rng.random()) for d in range(700) if rng.random() < 0.8]
+    rows += [(f"d{i}", date(2024, 1, 1), 1.0) for i in range(20)] + [("hot", None, 9.0), (None, date(2024, 1, 1), 2.0), (None, date(2024, 1, 2), 3.0)]
+    df = stage(spark.createDataFrame(rows, "device_id string, date date, avg_vibration_rms double"), "daily")
+    columns = ("device_id", "date", "avg_vibration_rms")
+    assert scored(series.zscore_daily(df, frame_rows, piece=piece), *columns) == scored(scoring.zscore_daily(df, frame_rows), *columns)
+
+
+def test_one_hot_device_is_many_tasks(spark):
+    """No window is partitioned by the device alone, but for one over the sizes of its months."""
+    df = stage(hourly(spark).filter("device_id = 'hot'"), "hot")
+    plan = series.zscore_24h(df, piece=4 * 86400)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and "_piece" in shuffles[0]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spread = series.over_time(df, "device_id", F.unix_seconds("window_start"), 82_800, {"n": lambda w: F.count("*").over(w)}, 4 * 86400)
+    tasks = spread.groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    whole = df.count()
+    assert spread.count() == whole and len(tasks) > 1 and max(r["count"] for r in tasks) < whole
+
+
+def test_empty_series(spark):
+    nothing = hourly(spark).limit(0)
+    assert series.zscore_24h(nothing).count() == 0
+    assert series.zscore_daily(nothing.withColumnRenamed("window_start", "date").withColumn("date", F.to_date("date")), 2).count() == 0
+
+
+def days(spark, n=3_000, devices=500):
+    rng = random.Random(2)
+    rows = [(f"d{rng.randrange(devices)}", date(2024, 1, 1) + timedelta(days=rng.randrange(40)), rng.random() < 0.1) for _ in range(n)]
+    return spark.createDataFrame([*rows, (None, date(2024, 1, 1), True), ("d1", None, None)], "device_id string, date date, is_at_risk boolean")
+
+
+def test_bitmaps_count_like_sets(spark):
+    df = days(spark)
+    numbers = stage(distinct.numbered(df.repartition(7)), "numbers")
+    maps = stage(distinct.date_bitmaps(df, numbers, {"at_risk": F.col("is_at_risk")}), "maps")
+    got = {(r["period"], r["period_start"]): (r["devices"], r["risky"]) for r in distinct.counts(maps, {"seen": "devices", "at_risk": "risky"}).collect()}
+    sets = {}
+    for r in df.collect():
+        if r.device_id is not None:
+            week = r.date and r.date - timedelta(days=r.date.weekday())
+            for span in (("day", r.date), ("week", week), ("all", None)):
+                seen, risky = sets.setdefault(span, (set(), set()))
+                seen.add(r.device_id)
+                if r.is_at_risk:
+                    risky.add(r.device_id)
+    assert got == {span: (len(seen), len(risky)) for span, (seen, risky) in sets.items()}
+    found = distinct.count_between(maps, "2024-01-05", "2024-01-09").head()[0]
+    assert found == len({r.device_id for r in df.collect() if r.device_id and r.date and date(2024, 1, 5) <= r.date <= date(2024, 1, 9)})
+    assert distinct.count_between(maps, "2030-01-01", "2030-01-02").head()[0] == 0
+
+
+def test_numbers_are_extended(spark):
+    first = stage(distinct.numbered(days(spark, 50)), "first")
+    more = stage(distinct.numbered(days(spark), first), "more")
+    everyone = first.unionByName(more)
+    assert everyone.count() == everyone.select("device_id").distinct().count() == everyone.select("number").distinct().count()
+    assert everyone.count() == days(spark).select("device_id").distinct().count() - 1
+    assert first.join(more, "device_id").count() == 0
