@@ -141,17 +141,33 @@ def slots(sources: DataFrame) -> DataFrame:
     )
 
 
-def pieces(documents: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Each document's part of each block, with the uses of the block: blocks joined by index."""
-    uses = drawn.groupBy("number", "block").agg(F.count("*").cast("int").alias("uses"))
+def shard_counts(drawn: DataFrame) -> DataFrame:
+    """How many slots of each shard each source fills: ``shard``, ``number``, ``n``."""
+    return drawn.groupBy("shard", "number").agg(F.count("*").alias("n"))
+
+
+def cut_into_blocks(documents: DataFrame) -> DataFrame:
+    """Each document's part of each block: ``from`` (a word of the document) and ``words``."""
     cut = documents.withColumn(
         "block", F.explode(F.expr(f"sequence(at div {BLOCK_WORDS}, (at + size - 1) div {BLOCK_WORDS})"))
     )
     low = F.greatest(F.col("at"), F.col("block") * BLOCK_WORDS)
     high = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * BLOCK_WORDS)
+    return cut.withColumn("from", (low - F.col("at")).cast("long")).withColumn("words", (high - low).cast("long"))
+
+
+def in_slots(documents: DataFrame, drawn: DataFrame) -> DataFrame:
+    """The mix itself, blocks joined to slots by index: a row for each document's part of the block in each
+    slot of each shard, and one without a slot for each part that no slot takes."""
+    # Sizes estimated from the few rows of sources are far too small, so Spark must not choose by them.
+    return cut_into_blocks(documents).join(drawn.hint("merge"), ["number", "block"], "left")
+
+
+def pieces(documents: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Each document's part of each block, with the uses of the block: blocks joined by index."""
+    uses = drawn.groupBy("number", "block").agg(F.count("*").cast("int").alias("uses"))
     return (
-        cut.withColumn("from", (low - F.col("at")).cast("long"))
-        .withColumn("words", (high - low).cast("long"))
+        cut_into_blocks(documents)
         # Sizes estimated from the few rows of sources are far too small, so Spark must not choose by them.
         .join(uses.hint("merge"), ["number", "block"], "left")
         .withColumn("uses", F.coalesce("uses", F.lit(0)))
@@ -163,7 +179,8 @@ def _sizes(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``size``, ``source_size``, ``target`` and ``taken`` of every row of ``docs``.
+    """``doc_id``, ``size``, ``source_size``, ``target`` and ``taken`` of every row of ``docs``, all summed over
+    the slots of the mix, and the first ``shard`` and its first ``slot`` that hold a word of it (null if none does).
 
     Null and empty texts have size 0 and nothing is taken of them. A null source is
     a source of its own, the last. Repeated rows count, and are mixed, one by one;
@@ -172,18 +189,25 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     sizes = stage(_sizes(docs), "sizes")
     sources = stage(with_draws(targets(sizes)), "sources")
+    place = F.col("shard") * SHARD_SLOTS + F.col("slot")
     taken = (
-        pieces(placed(sizes, sources), slots(sources))
+        in_slots(placed(sizes, sources), slots(sources))
         .groupBy("number", "at", "doc_id", "size")
-        .agg(F.sum(F.col("words") * F.col("uses")).cast("long").alias("taken"))
-        .select("doc_id", "number", "size", "taken")
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("shard").isNotNull(), F.col("words"))), F.lit(0)).cast("long").alias("taken"),
+            F.min(place).alias("first"),
+        )
+        .select("doc_id", "number", "size", "taken", "first")
     )
     empty = sizes.where("size = 0").join(sources.select("number", "source"), sizes["source"].eqNullSafe(sources["source"]))
-    empty = empty.select("doc_id", "number", "size", F.lit(0).cast("long").alias("taken"))
+    empty = empty.select("doc_id", "number", "size", F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first"))
     return (
         taken.unionAll(empty)
         .join(sources.select("number", "source_size", "target"), "number")
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .select(
+            "doc_id", "size", "source_size", "target", "taken",
+            F.expr(f"first div {SHARD_SLOTS}").alias("shard"), F.expr(f"first % {SHARD_SLOTS}").alias("slot"),
+        )
     )
 
 

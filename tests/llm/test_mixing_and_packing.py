@@ -1,7 +1,9 @@
+import struct
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from plain import awkward, documents, empty, words
 from pyspark.sql import functions as F
 
@@ -62,6 +64,58 @@ def test_slots_hold_every_draw_once(spark):
         assert max(blocks.values()) - min(blocks.get(b, 0) for b in range(s.blocks)) <= 1
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of long, int (as a pair with False) and string values."""
+    seed = 42
+    for value in values:
+        raw = value.encode() if isinstance(value, str) else struct.pack("<i", value[0]) if isinstance(value, tuple) else struct.pack("<q", value)
+        seed = xxhash.xxh64_intdigest(raw, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_permuted(x, size, *key):
+    for r in range(mixing.ROUNDS):
+        other = (spark_hash((r,), *key) % size + size - x) % size
+        if spark_hash(max(x, other), (r,), *key) & 1:
+            x = other
+    return x
+
+
+def test_mix_follows_its_slots(spark, monkeypatch):
+    """Shards, slots and words taken, recomputed without Spark; another slot map gives another mix."""
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 16)
+    rows = [(i, " ".join(["w"] * (5 + 37 * i % 300)), f"s{i % 3}") for i in range(60)]
+    df = documents(spark, rows)
+    got = {r.doc_id: r for r in mixing.mix(df).collect()}
+    sizes = mixing._sizes(df)
+    sources = {r.number: r for r in mixing.with_draws(mixing.targets(sizes)).collect()}
+    streams = {r.doc_id: r for r in mixing.placed(sizes, mixing.with_draws(mixing.targets(sizes))).collect()}
+    places, counts = {}, Counter()
+    for number, s in sources.items():
+        for draw in range(s.draws):
+            place = plain_permuted(s.first + draw, s.all_draws, "slots")
+            block = plain_permuted(draw % s.blocks, s.blocks, (number,), "blocks")
+            places.setdefault((number, block), []).append(place)
+            counts[place // 16, number] += 1
+    for doc_id, _, _ in rows:
+        here = streams[doc_id]
+        taken, first = 0, None
+        for block in range(here.at // 64, (here.at + here.size - 1) // 64 + 1):
+            words_in = min(here.at + here.size, 64 * block + 64) - max(here.at, 64 * block)
+            for place in places.get((here.number, block), []):
+                taken, first = taken + words_in, place if first is None else min(first, place)
+        found = got[doc_id]
+        assert (found.taken, found.shard, found.slot) == (taken, *((None, None) if first is None else divmod(first, 16)))
+    drawn = mixing.slots(mixing.with_draws(mixing.targets(sizes)))
+    assert {(r.shard, r.number): r.n for r in mixing.shard_counts(drawn).collect()} == counts
+    # Every full shard is a draw from the sources at their shares, so no two sources come in one run.
+    full = [s for s in {s for s, _ in counts} if sum(n for (t, _), n in counts.items() if t == s) == 16]
+    assert len(full) >= 5 and all(len({n for (t, n) in counts if t == s}) > 1 for s in full)
+    monkeypatch.setattr(mixing, "ROUNDS", mixing.ROUNDS - 1)
+    other = {r.doc_id: r for r in mixing.mix(df).collect()}
+    assert any((other[d].shard, other[d].slot) != (got[d].shard, got[d].slot) for d in got)
+
+
 def test_mixed_documents_hold_what_the_mix_takes(spark):
     rows = [(i, " ".join(f"w{i}x{k}" for k in range(20 + 13 * i)), f"s{i % 5}") for i in range(40)]
     df = documents(spark, rows)
