@@ -26,9 +26,10 @@ from gaugeworks.session import stage
 
 SCALE = 256
 BLOCK_ROWS = 1 << 16
-QUERY_ROWS = 96
-#: Whole numbers are held within this bound, far beyond any embedding's.
-LARGEST = 1 << 24
+#: Queries that meet a block at a time; the index is shuffled once for so many.
+QUERY_ROWS = 2_048
+#: Doubles hold whole numbers exactly up to this one; beyond it a component is refused.
+LARGEST = 1 << 53
 
 # --- bitmap arithmetic ------------------------------------------------------------
 
@@ -132,13 +133,16 @@ def best(sums: list[np.ndarray], candidates: np.ndarray, k: int) -> tuple[np.nda
 
 
 def quantised(vector: Column) -> Column:
-    """floor(256 * x) of each component; null for vectors that hold null or no finite number."""
-    whole = F.transform(
-        vector,
-        lambda x: F.least(
-            F.greatest(F.floor(x.cast("double") * SCALE), F.lit(-LARGEST).cast("long")), F.lit(LARGEST).cast("long")
-        ).cast("int"),
-    )
+    """floor(256 * x) of each component; null for vectors that hold null or no finite number.
+
+    A vector with a component of 2 ** 45 or more fails the job, as its scores may leave 64 bits.
+    """
+
+    def whole_number(x: Column) -> Column:
+        scaled = x.cast("double") * SCALE
+        return F.when(F.abs(scaled) < LARGEST, F.floor(scaled)).otherwise(F.raise_error(F.lit("a component is too large")).cast("long"))
+
+    whole = F.transform(vector, whole_number)
     usable = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
     return F.when(usable, whole)
 
@@ -156,6 +160,20 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
+def own_row(slices: np.ndarray, low: int, rows: np.ndarray, query: np.ndarray) -> int | None:
+    """The first of ``rows`` whose vector is the query's; missing components are 0."""
+    dimensions, bits, _ = slices.shape
+    if query[dimensions:].any():
+        return None
+    wanted = np.zeros(dimensions, np.int64)
+    wanted[: len(query)] = query[:dimensions]
+    for row in rows.tolist():
+        on = slices[:, :, row // 64] >> np.uint64(row % 64) & np.uint64(1)
+        if (low + (on.astype(np.int64) << np.arange(bits)).sum(axis=1) == wanted).all():
+            return row
+    return None
+
+
 def index(vectors: DataFrame, blocks: int) -> DataFrame:
     """``id`` and ``whole`` numbers -> one row of bitmaps for each block of rows."""
 
@@ -185,49 +203,49 @@ def top(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` candidates of highest inner product for each query, ties to the smaller id.
 
     Both have ``id`` and ``whole`` (see :func:`quantised`). Rows with null in either
-    take no part. A query's own id is no candidate. Where a query id repeats, its
-    smallest vector counts; repeated candidates are rows of their own. A missing
-    component counts as 0. With fewer candidates all are returned, with none or an
+    take no part. A query's own row is no candidate: of the candidates with its id and
+    vector, one is left out. Repeated rows are queries and candidates of their own, and
+    each repeated query has an answer of its own. A missing component counts as 0. With fewer candidates all are returned, with none or an
     empty table no row. Other columns are not read.
     """
-    vectors = vectors.select("id", "whole").where("id is not null and whole is not null")
+    vectors = vectors.select("id", F.col("whole").cast("array<long>").alias("whole")).where("id is not null and whole is not null")
     blocks = max(1, -(-vectors.count() // BLOCK_ROWS))
     built = stage(index(vectors, blocks), "slices")
-    asked = (
-        queries.where("id is not null and whole is not null").groupBy("id").agg(F.min("whole").alias("whole"))
-    )
-    asked = stage(asked, "queries")
+    # Numbered in a stored table: ids may repeat.
+    numbered = queries.select("id", F.col("whole").cast("array<long>").alias("whole"), F.monotonically_increasing_id().alias("query"))
+    asked = stage(numbered.where("id is not null and whole is not null"), "queries")
     parts = max(1, -(-asked.count() // QUERY_ROWS))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)))
     # Each block of the index meets each part of the queries.
     asked = asked.withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")))
     met = built.withColumn("part", F.explode(F.expr(f"sequence(0L, {parts - 1}L)")))
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[int, int, int, int]] = []
         if left.num_rows and right.num_rows:
             row = {name: left.column(name)[0].as_py() for name in left.column_names}
             ids = np.frombuffer(row["ids"], np.int64)
             slices = np.frombuffer(row["slices"], np.uint64).reshape(row["dimensions"], row["bits"], -1)
             everyone = _ones(len(ids))
-            for one, query in zip(right.column("id").to_pylist(), _matrix(right.column("whole")), strict=True):
+            asked = zip(right.column("query").to_pylist(), right.column("id").to_pylist(), _matrix(right.column("whole")), strict=True)
+            for number, one, query in asked:
                 sums, shift = scores(slices, query)
                 candidates = everyone
-                own = np.arange(np.searchsorted(ids, one), np.searchsorted(ids, one, "right"))
-                if len(own):
+                own = own_row(slices, row["low"], np.arange(np.searchsorted(ids, one), np.searchsorted(ids, one, "right")), query)
+                if own is not None:
                     candidates = everyone.copy()
-                    np.bitwise_and.at(candidates, own // 64, ~(np.uint64(1) << (own % 64).astype(np.uint64)))
+                    candidates[own // 64] &= ~(np.uint64(1) << np.uint64(own % 64))
                 shift += row["low"] * int(query[: row["dimensions"]].sum())
                 rows, values = best(sums, candidates, k)
-                out += [(one, int(ids[r]), v + shift) for r, v in zip(rows.tolist(), values, strict=True)]
-        names = ("query_id", "vec_id", "score")
+                out += [(number, one, int(ids[r]), v + shift) for r, v in zip(rows.tolist(), values, strict=True)]
+        names = ("query", "query_id", "vec_id", "score")
         return pa.table({name: pa.array([x[i] for x in out], pa.int64()) for i, name in enumerate(names)})
 
     found = (
         met.groupBy("block", "part")
         .cogroup(asked.groupBy("block", "part"))
-        .applyInArrow(search, "query_id long, vec_id long, score long")
+        .applyInArrow(search, "query long, query_id long, vec_id long, score long")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

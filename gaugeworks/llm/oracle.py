@@ -11,16 +11,16 @@ TREE_LEVELS, ROOT_LEVELS = 8, 3
 
 TOP_K = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-    FROM whole q JOIN whole c ON c.vec_id <> q.vec_id
+    SELECT q.own, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON c.own <> q.own
     WHERE q.vec_id % 50 = 0
 ), ranked AS (
-    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    SELECT *, CAST(row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS INTEGER) AS rank
     FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import bitslice
@@ -7,13 +8,14 @@ from gaugeworks.llm import bitslice
 def plain(vectors, queries, k):
     out = set()
     for q, a in queries:
-        scores = [(-int(np.dot(a, b)), i) for i, b in vectors if i != q]
+        own = next((n for n, (i, b) in enumerate(vectors) if i == q and list(a) == list(b)), None)
+        scores = [(-sum(int(x) * int(y) for x, y in zip(a, b)), i) for n, (i, b) in enumerate(vectors) if n != own]
         out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k])}
     return out
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, [int(x) for x in v]) for i, v in rows], "id long, whole array<int>")
+    return spark.createDataFrame([(i, [int(x) for x in v]) for i, v in rows], "id long, whole array<long>")
 
 
 def test_equals_brute_force(spark, monkeypatch):
@@ -56,6 +58,22 @@ def test_unusable_and_odd_vectors(spark):
     }
     got = {tuple(r) for r in bitslice.top(df, df.where("id % 50 = 0"), 5).collect()}
     assert got == {(50, 1, 1, 32768), (50, 2, 1, 32768), (50, 3, 6, 256), (50, 4, 7, 0)}
+    with pytest.raises(Exception, match="too large"):
+        spark.createDataFrame([(1, [1e15])], "vec_id long, embedding array<double>").select(bitslice.quantised(F.col("embedding"))).collect()
     nothing = df.where("false")
     assert bitslice.top(nothing, nothing, 5).count() == 0 and bitslice.top(df, nothing, 5).count() == 0
     assert bitslice.top(df.where("id = 50"), df.where("id = 50"), 5).count() == 0
+
+
+def test_repeated_queries_and_large_components(spark, monkeypatch):
+    """Each row of a repeated id is a query with an answer of its own; no component is cut."""
+    monkeypatch.setattr(bitslice, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(bitslice, "QUERY_ROWS", 2)
+    rows = [(50, [1, 2]), (50, [-3, 1]), (50, [1, 2]), (1, [70_000 * 256, 0]), (2, [200_000 * 256, 1]), (3, [-(2**40), 2**20]), (100, [256, 0])]
+    queries = [r for r in rows if r[0] % 50 == 0]
+    got = sorted(map(tuple, bitslice.top(frame(spark, rows), frame(spark, queries), 4).collect()))
+    want = []
+    for q, a in queries:
+        want += plain(rows, [(q, a)], 4)
+    assert got == sorted(want) and len(got) == 16
+    assert (100, 1, 2, 200_000 * 256 * 256) in got and (100, 2, 1, 70_000 * 256 * 256) in got
