@@ -46,7 +46,7 @@ SCALE = 1_000_000
 #: A candidate with 100 * f(longer) >= COVERED * f(candidate) is covered.
 COVERED = 50
 #: Bytes of text that a task gathers before it builds automata, and words of one automaton.
-GATHER_BYTES, SHARD_WORDS = 8 << 20, 1_000_000
+GATHER_BYTES, SHARD_WORDS = 4 << 20, 500_000
 #: Bytes of text whose n-grams make one range, on average.
 RANGE_BYTES = 4 << 20
 #: The bounds' sample: documents of a language, pairs of words of a document.
