@@ -28,6 +28,8 @@ SCALE = 256
 BLOCK_ROWS = 1 << 16
 #: Queries that meet a block at a time; the index is shuffled once for so many.
 QUERY_ROWS = 2_048
+#: With few blocks, queries are cut into more parts, of this many at least, for so many tasks.
+FEWEST_QUERY_ROWS, TASKS = 96, 64
 #: Doubles hold whole numbers exactly up to this one; beyond it a component is refused.
 LARGEST = 1 << 53
 
@@ -214,7 +216,8 @@ def top(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     # Numbered in a stored table: ids may repeat.
     numbered = queries.select("id", F.col("whole").cast("array<long>").alias("whole"), F.monotonically_increasing_id().alias("query"))
     asked = stage(numbered.where("id is not null and whole is not null"), "queries")
-    parts = max(1, -(-asked.count() // QUERY_ROWS))
+    number = asked.count()
+    parts = max(1, -(-number // QUERY_ROWS), min(-(-number // FEWEST_QUERY_ROWS), -(-TASKS // blocks)))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)))
     # Each block of the index meets each part of the queries.
     asked = asked.withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")))
