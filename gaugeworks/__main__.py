@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import replace
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from gaugeworks import settings
 from gaugeworks.plans import jobs
 from gaugeworks.session import get_session
+from gaugeworks.sources.json_schema import compile_schema
 
 
 ONLY = {
-    ("landing",): ("feed_path",),
+    ("landing",): ("feed_path", "contract_file"),
     ("bronze",): ("continuous",),
     ("bronze", "all"): ("check_contract",),
     ("silver", "gold", "all"): ("incremental",),
@@ -30,6 +32,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder that holds all tables")
     parser.add_argument("--source-path", help="landing folder, if not under the root")
     parser.add_argument("--feed-path", help="folder of feed payloads, one JSON text a line (landing)")
+    parser.add_argument("--contract-file", help="JSON schema that readings must meet before they land (landing)")
     parser.add_argument("--hourly-table", help="Gold table by hour, a name or a path")
     parser.add_argument("--daily-table", help="Gold table by day, a name or a path")
     parser.add_argument("--metrics-table", help="metrics table, a name or a path")
@@ -68,7 +71,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "landing":
         channel = F.get_json_object("value", "$.channel.id").try_cast("int")
         payloads = spark.read.text(args.feed_path).select(channel.alias("channel_id"), F.col("value").alias("payload"))
-        jobs.run_landing(spark, payloads, where)
+        contract = compile_schema(Path(args.contract_file)) if args.contract_file else None
+        jobs.run_landing(spark, payloads, where, contract=contract)
     elif args.job == "bronze":
         mode = "continuous" if args.continuous else "available_now"
         query = jobs.run_bronze(spark, where, mode, args.check_contract, **bounds)

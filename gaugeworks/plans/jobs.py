@@ -19,9 +19,12 @@ from gaugeworks.operators.layout import compact, finish_swap, fragmented
 from gaugeworks.operators.upsert import read_upserted
 from gaugeworks.plans import gold
 from gaugeworks.plans.silver import SilverStep, apply_batch
+from gaugeworks.functions.scalars import compact_json
 from gaugeworks.session import staged
 from gaugeworks.sources.feeds import channel_dimension, parse_feeds
+from gaugeworks.sources.json_schema import Contract, split_once
 from gaugeworks.sources.landing import write_landing
+from gaugeworks.sources.schemas import READING
 from gaugeworks.sources.tables import drop_partitions, is_path, read_if_exists, read_table, write_table
 from gaugeworks.streaming import bronze as bronze_stream
 from gaugeworks.streaming.progress import BatchReports
@@ -74,8 +77,29 @@ def _report_count(table: DataFrame, name: str, where: Locations) -> None:
     metrics.publish(counted.select(*metrics.metric_row(name, F.col("row_count"), "Count", F.current_timestamp())), where.metrics)
 
 
-def run_landing(spark: SparkSession, payloads: DataFrame, where: Locations, channels: list[tuple] | None = None) -> None:
-    """Feed payloads to landing files, with ingest counts per device (PIPE-5). Payloads are parsed once."""
+def run_landing(
+    spark: SparkSession,
+    payloads: DataFrame,
+    where: Locations,
+    channels: list[tuple] | None = None,
+    contract: Contract | None = None,
+) -> None:
+    """Feed payloads to landing files, with ingest counts per device (PIPE-5). Payloads are parsed once.
+
+    With a ``contract`` the readings are checked before they land; those that break it
+    go to quarantine as they would have been written.
+    """
+    if contract is not None:
+        texts = parse_feeds(payloads, channel_dimension(spark, channels)).select(compact_json(*READING.names).alias("value"))
+
+        def land(valid: DataFrame) -> None:
+            # The landing schema's own types, as without a contract.
+            readings = valid.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in READING.fields])
+            write_landing(readings, where.landing)
+            metrics.publish(metrics.ingest_counts(readings), where.metrics)
+
+        split_once(texts, contract, land, lambda bad: write_table(bad, where.quarantine, "append"))
+        return
     with staged(parse_feeds(payloads, channel_dimension(spark, channels)), "readings") as readings:
         write_landing(readings, where.landing)
         metrics.publish(metrics.ingest_counts(readings), where.metrics)

@@ -492,6 +492,21 @@ SELECT json_extract_string(j, '$.device_id') AS device_id, CAST(json_extract_str
        CAST(NULL AS VARCHAR) AS ingested_at
 FROM checked WHERE violations = ''""",
     "contract_quarantine": f"WITH {_CHECKED} SELECT event_id, text AS value, violations FROM checked WHERE violations <> ''",
+    "contract_from_schema": f"""WITH {_CHECKED},
+schema_checked AS (SELECT * REPLACE (replace(replace(violations, ';range:source_channel', ''), 'range:source_channel', '') AS violations)
+  FROM checked),
+read AS (SELECT *, CASE WHEN violations = '' THEN j END AS good FROM schema_checked)
+SELECT event_id, violations, json_extract_string(good, '$.device_id') AS device_id,
+       CAST(json_extract_string(good, '$.entry_id') AS BIGINT) AS entry_id,
+       json_extract_string(good, '$.recorded_at') AS recorded_at,
+       CAST(json_extract_string(good, '$.vibration_rms') AS DOUBLE) AS vibration_rms,
+       CAST(NULL AS DOUBLE) AS temperature_celsius, CAST(NULL AS DOUBLE) AS pressure_bar,
+       CAST(json_extract_string(good, '$.source_channel') AS BIGINT) AS source_channel, CAST(NULL AS VARCHAR) AS ingested_at
+FROM read""",
+    "landing_checked": f"""
+SELECT device_id, entry_id, CASE WHEN entry % 23 = 0 THEN '' ELSE recorded_at END AS recorded_at,
+       {", ".join(METRICS)}, CASE WHEN entry % 23 = 0 THEN 'format:recorded_at' ELSE '' END AS violations
+FROM ({_FEED_PARSE.replace("SELECT device_id, coalesce", "SELECT event_id AS entry, device_id, coalesce").replace("SELECT CASE WHEN user_id % 2", "SELECT event_id, CASE WHEN user_id % 2")})""",
     "landing_json": _with(
         f"SELECT {_RAW_COLUMNS}, '2024' AS year, '01' AS month, '31' AS day, '00' AS hour FROM raw", "raw"
     ),

@@ -19,7 +19,7 @@ from gaugeworks.operators.upsert import read_upserted, upsert
 from gaugeworks.plans import dashboard, gold, jobs
 from gaugeworks.plans.oracle import BRONZE_FILES
 from gaugeworks.session import stage, work_path
-from gaugeworks.sources import contract, landing
+from gaugeworks.sources import contract, json_schema, landing
 from gaugeworks.sources import sensor_view as view
 from gaugeworks.sources.feeds import channel_dimension, parse_feeds
 from gaugeworks.sources.schemas import READING
@@ -465,6 +465,31 @@ def contract_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.quarantined(checked).select("event_id", "value", F.array_join("violations", ";").alias("violations"))
 
 
+@register
+def contract_from_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw text with its violations and, if there are none, its typed fields, by the schema document."""
+    rules = json_schema.compile_schema(json_schema.READING_SCHEMA)
+    rows = json_schema.checked(view.raw_texts(view.read_events(spark, sf_dir)), rules)
+    return rows.select("event_id", F.array_join("violations", ";").alias("violations"), "reading.*")
+
+
+@register
+def landing_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds, some without a time, through the contract: what landed, and what was set aside and why."""
+    where = jobs.Locations.under(work_path(spark, "landing-checked"))
+    payloads = view.untimed_payloads(view.read_events(spark, sf_dir))
+    jobs.run_landing(spark, payloads, where, contract=json_schema.compile_schema(json_schema.READING_SCHEMA))
+    landed = landing.read_landing(spark, where.landing).select("device_id", "entry_id", "recorded_at", *settings.METRICS)
+    aside = read_table(spark, where.quarantine)
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    refused = aside.select(
+        field("device_id").alias("device_id"), field("entry_id").cast("bigint").alias("entry_id"),
+        field("recorded_at").alias("recorded_at"), *[field(m).cast("double").alias(m) for m in settings.METRICS],
+        F.array_join("violations", ";").alias("violations"),
+    )
+    return landed.withColumn("violations", F.lit("")).unionByName(refused)
+
+
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = view.first_deliveries(view.read_events(spark, sf_dir))
     return first.withColumn("ingested_at", F.date_format("_ingested_at", view.ISO_FORMAT)).select(*READING.names)
