@@ -55,6 +55,18 @@ def rules_frame(spark: SparkSession, rules: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rules, ALARM_RULE)
 
 
+def rules_per_device(
+    devices: DataFrame, metric: str, statistic: str, period: int, periods: int, comparison: str, threshold: float, missing: str
+) -> DataFrame:
+    """One rule of the same kind for each ``device_id`` of a table, however many there are; null is left out."""
+    rules_frame(devices.sparkSession, [("check", metric, statistic, period, periods, comparison, threshold, missing, {})])
+    device = F.col("device_id")
+    values = (F.concat(F.lit(f"{metric}-"), device), *map(F.lit, (metric, statistic, period, periods, comparison, threshold, missing)),
+              F.create_map(F.lit("DeviceId"), device))
+    known = devices.select("device_id").filter(device.isNotNull()).distinct()
+    return known.select(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, ALARM_RULE.fields, strict=True)])
+
+
 def _period_start(ts) -> F.Column:
     """Start of the rule's period, in epoch seconds."""
     seconds = F.unix_seconds(ts)

@@ -314,6 +314,17 @@ SELECT rule, make_timestamp(p * 1000000) AS period_start, {half_up('value')} AS
        CASE WHEN breaching AND (periods = 1 OR two = 2) THEN 'ALARM' ELSE 'OK' END AS state
 FROM recent"""
 
+_DEFAULT_STATES = (
+    _STATES.replace("'GoldTableLastUpdate'", "'GoldTableLastComputed'")
+    .replace("    ('device-errors', 'PipelineErrors', 'SampleCount', 3600, 2, '>=', 1.0, FALSE, 'device-000003')\n", "")
+    .replace(f"epoch({AS_OF}) - 7200, TRUE, NULL),\n", f"epoch({AS_OF}) - 7200, TRUE, NULL)\n")
+    .replace(
+        "threshold, missing, device)),",
+        "threshold, missing, device) UNION ALL SELECT DISTINCT 'PipelineErrors-' || printf('device-%06d', user_id), 'PipelineErrors', "
+        "'Sum', 86400, 2, '>=', 1.0, FALSE, printf('device-%06d', user_id) FROM events),",
+    )
+)
+
 # Sources and sinks
 
 _TEXT_DEVICE = "CASE WHEN {k} = 1 THEN '' ELSE '\"device_id\":\"' || printf('device-%06d', user_id) || '\",' END"
@@ -482,6 +493,12 @@ SELECT {_SILVER_COLUMNS} FROM (
     "dashboard_curves": _with(_CURVES, "feed"),
     "dashboard_curves_stored": _with(f"{_CURVES} UNION ALL {_HOURLY_CURVES}", "table_feed"),
     "alarm_state": _with("", "feed") + _STATES,
+    "alarm_state_default": _with("", "feed").replace(
+        "UNION ALL SELECT 'GoldTableLastUpdate'",
+        "UNION ALL SELECT 'GoldTableLastComputed', CAST(floor(epoch(ts)) AS DOUBLE), NULL, ts FROM events WHERE event_id % 3 = 0 "
+        "UNION ALL SELECT 'GoldTableLastUpdate'",
+    )
+    + _DEFAULT_STATES,
     "feed_parse": _FEED_PARSE,
     "contract_valid": f"""WITH {_CHECKED}
 SELECT json_extract_string(j, '$.device_id') AS device_id, CAST(json_extract_string(j, '$.entry_id') AS BIGINT) AS entry_id,

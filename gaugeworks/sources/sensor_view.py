@@ -138,6 +138,15 @@ def raw_texts(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id"), F.when(nth(8), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text).alias("value"))
 
 
+def computed_feed(events: DataFrame) -> DataFrame:
+    """The time at which Gold was last computed, reported after every third event."""
+    none = F.create_map().cast("map<string,string>")
+    return events.filter(F.col("event_id") % 3 == 0).select(
+        F.lit("GoldTableLastComputed").alias("metric_name"), F.unix_seconds("ts").cast("double").alias("value"),
+        F.lit("None").alias("unit"), none.alias("dimensions"), "ts",
+    )
+
+
 def table_feed(events: DataFrame) -> DataFrame:
     """The metrics of the dashboard's hourly curves, as they would stand after each event."""
     seen = F.col("event_id") + 1
