@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from plain import awkward, documents, empty, sentence, words
 
@@ -298,3 +299,28 @@ def test_scores_of_awkward_rows(spark):
     assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in awkward(spark).collect())
     assert all(r.score < 0 for r in got) and {r.n_tokens for r in got if r.doc_id in (30, 31, 32)} == {1}
     assert scoring.scored(empty(spark)).count() == 0
+
+
+def test_copies_are_averaged_by_their_words():
+    rng = np.random.default_rng(0)
+    nets, words = rng.normal(size=(40, 7)), rng.integers(1, 900, 40)
+    rows = [scoring._copy(i, int(w), net) for i, (w, net) in enumerate(zip(words, nets))]
+    want = (nets * words[:, None]).sum(0) / words.sum()
+    table = pa.Table.from_batches(rows)
+    at_once = scoring._averaged(table).to_pylist()[0]
+    assert at_once["words"] == words.sum() and at_once["net"] == pytest.approx(want, abs=1e-6)
+    shuffled = table.take(pa.array(rng.permutation(40)))
+    assert scoring._averaged(shuffled).to_pylist()[0]["net"] == at_once["net"]
+    # In levels of 16 it is the same.
+    level = pa.concat_tables([scoring._averaged(table.slice(at, 16)) for at in range(0, 40, 16)])
+    assert level.num_rows == 3 and scoring._averaged(level).to_pylist()[0]["net"] == pytest.approx(want, abs=1e-6)
+
+
+def test_more_copies_than_one_task_averages(spark, monkeypatch):
+    """With levels of two copies the network is the same but for rounding."""
+    docs = documents(spark, [(i, sentence(random.Random(i), 60)) for i in range(400)])
+    monkeypatch.setattr(scoring, "SHARE", 1)
+    want = {r.doc_id: r.score for r in scoring.scored(docs).collect()}
+    monkeypatch.setattr(scoring, "FAN", 2)
+    got = {r.doc_id: r.score for r in scoring.scored(docs).collect()}
+    assert got == pytest.approx(want, rel=1e-4) and len(set(got.values())) > 300
