@@ -594,6 +594,6 @@ def compact_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many small files per date to few, along the Z-order curve of device and hour."""
     path = work_path(spark, "hourly-z")
     hourly = _hourly(spark, sf_dir).withColumn(gold.HOURLY_PARTITION, F.to_date("window_start"))
-    write_table(hourly.repartition(16), path, "overwrite", (gold.HOURLY_PARTITION,))
+    write_table(hourly.repartition(6), path, "overwrite", (gold.HOURLY_PARTITION,))
     layout.compact(spark, path, gold.HOURLY_PARTITION, "device_id", "window_start", zorder=True)
     return read_table(spark, path).drop("_computed_at", gold.HOURLY_PARTITION)
