@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import columns, texts
 from gaugeworks.llm.components import components
-from gaugeworks.session import stage
+from gaugeworks.session import stage, staged
 
 #: Rows of a bucket that one comparison takes; larger buckets are cut into parts.
 BUCKET_ROWS = 4096
@@ -346,6 +346,8 @@ CANDIDATE_RADIUS = 44
 SAMPLE_DOCS, FREQUENT = 4000, 8
 #: Rows and shingles of a group of candidates that one comparison takes for either side.
 PART_ROWS, PART_SHINGLES = 512, 1 << 21
+#: Words of 64 bits that mark keys, so that most others need no join. Broadcast, 16 MB at most.
+MARK_SLOTS = 1 << 20
 
 
 def shingle_set(text: bytes) -> np.ndarray:
@@ -428,34 +430,76 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(np.int64)))
 
 
-def _sketches(docs: DataFrame, frequent: np.ndarray | None) -> DataFrame:
-    """``doc_id``, ``print`` and ``size`` of the set, and ``shingles``: the prefix, or all without ``frequent``."""
+def document_key() -> Column:
+    """A digest of id and text: rows that differ in either differ in it."""
+    digits = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.unhex(F.md5(F.concat(digits, F.lit(":"), F.coalesce("text", F.lit("")))))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return docs.select(document_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+
+
+def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``key``, ``doc_id``, ``print`` and ``size`` of the set, and its prefix as ``shingles``."""
 
     def compute(batches):
-        for ids, values in columns(batches, 200):
+        for keys, ids, values in columns(batches, 200):
             sets = [shingle_set(x) for x in values]
             prints = [set_print(x) for x in sets]
-            shown = sets if frequent is None else [prefix(x, frequent) for x in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(prints, pa.list_(pa.int64())), pa.array([len(x) for x in sets], pa.int64()), _lists(shown)],
-                ["doc_id", "print", "size", "shingles"],
+                [
+                    pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(prints, pa.list_(pa.int64())),
+                    pa.array([len(x) for x in sets], pa.int64()), _lists([prefix(x, frequent) for x in sets]),
+                ],
+                ["key", "doc_id", "print", "size", "shingles"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return rows.mapInArrow(compute, "doc_id long, print array<long>, size long, shingles array<long>")
+    schema = "key binary, doc_id long, print array<long>, size long, shingles array<long>"
+    return _keyed(docs).mapInArrow(compute, schema)
+
+
+def _sets(rows: DataFrame) -> DataFrame:
+    """``key`` and ``shingles``: the whole set of each text."""
+
+    def compute(batches):
+        for keys, values in columns(batches, 200):
+            sets = _lists([shingle_set(x) for x in values])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), sets], ["key", "shingles"])
+
+    return rows.select("key", "text").mapInArrow(compute, "key binary, shingles array<long>")
+
 
+def _marks(keys: DataFrame) -> DataFrame:
+    """A bit for each key by its hash: at most ``MARK_SLOTS`` rows of two longs, whatever the number of keys."""
+    h = F.xxhash64("key")
+    rows = keys.select(F.pmod(h, F.lit(MARK_SLOTS)).alias("slot"), _bit(h).alias("bit"))
+    return rows.groupBy("slot").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
 
-def _alike_links(docs: DataFrame, nodes: DataFrame, loose: DataFrame) -> DataFrame:
-    """``a`` and ``b``, nodes whose sets are alike: every pair within a component of ``loose`` is compared or spanned."""
-    members = nodes.join(loose, nodes["id"] == loose["node"]).select("id", "doc_id", "print", "size", "component")
-    members = stage(members, "members")
+
+def _bit(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 40).bitwiseAND(63).cast("int")
+
+
+def _with_mark(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Adds ``marked``: true for each key of ``marks`` and, by chance, for some others."""
+    h = F.xxhash64("key")
+    rows = rows.withColumn("slot", F.pmod(h, F.lit(MARK_SLOTS))).withColumn("bit", _bit(h))
+    rows = rows.join(F.broadcast(marks), "slot", "left")
+    return rows.withColumn("marked", F.coalesce(F.expr("getbit(bits, bit) = 1"), F.lit(False))).drop("slot", "bit", "bits")
+
+
+def _alike_links(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``a`` and ``b``, nodes whose sets are alike: every pair within a component of ``members`` is compared or spanned."""
     sizes = members.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / PART_ROWS), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int").alias("parts")
     )
-    wanted = texts(docs).join(members.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    sets = _sketches(wanted, None).select("doc_id", "print", "shingles")
+    # Only texts of candidates leave the scan, and a few more; the join below is exact.
+    wanted = _with_mark(_keyed(docs), _marks(members.select("key"))).where("marked")
+    sets = _sets(wanted.dropDuplicates(["key"]))
     # Both joins meet few rows with like keys: a node each, and a component each.
-    rows = members.drop("size").join(sets, ["doc_id", "print"]).join(sizes, "component")
+    rows = members.drop("size").join(sets.hint("merge"), "key").join(sizes, "component")
     rows = (
         rows.withColumn("own", F.pmod(F.xxhash64("id"), "parts").cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
@@ -478,38 +522,58 @@ def _alike_links(docs: DataFrame, nodes: DataFrame, loose: DataFrame) -> DataFra
     return rows.groupBy("component", "low", "high").applyInArrow(compare, "a long, b long")
 
 
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``key`` and ``doc_id`` of each row, and of its group ``least``: the smallest ``doc_id`` (null last) and ``key``.
+
+    Staged; what the steps before it wrote is deleted.
+    """
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "key")).alias("least")
+    with staged(_sketches(docs, _frequent(docs)), "prints") as prints:
+        nodes = prints.groupBy("print").agg(least, F.first("size").alias("size"), F.first("shingles").alias("keys"))
+        with staged(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes") as nodes:
+            loose = components(bucket_forests(nodes, 2, CANDIDATE_RADIUS))
+            members = nodes.join(loose, nodes["id"] == loose["node"])
+            with staged(members.select("id", "least.key", "size", "component"), "members") as members:
+                found = components(_alike_links(docs, members))
+                named = nodes.join(found, nodes["id"] == found["node"], "left")
+                named = named.select("print", "least", F.coalesce("component", "id").alias("component"))
+                with staged(named, "named") as named:
+                    first = named.groupBy("component").agg(F.min("least").alias("least"))
+                    named = named.select("print", "component").join(first, "component").select("print", "least")
+                    return stage(prints.select("key", "doc_id", "print").join(named, "print").drop("print"), "grouped")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``component_id``: the smallest id reachable over texts whose sets of five words in a row have a
     similarity of 0.8 or more.
 
     Texts with equal sets are one node. Nodes that share a shingle of their prefixes
     are candidates if their SimHashes are near, and candidates are grouped loosely;
-    within such a group, all sets are compared. Rows without ``doc_id`` take no part.
+    within such a group, all sets are compared. One row per row of ``docs``; rows
+    without ``doc_id`` take part, and ``component_id`` is null where no row of a group
+    has one. Null texts are empty, and all texts without words are one group. Other
+    columns are not read. An empty table gives no rows.
     """
-    prints = stage(_sketches(texts(docs), _frequent(docs)), "prints")
-    nodes = prints.where("doc_id is not null").groupBy("print").agg(
-        F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("shingles").alias("keys")
-    )
-    nodes = stage(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    loose = stage(components(bucket_forests(nodes, 2, CANDIDATE_RADIUS)), "loose")
-    found = components(_alike_links(docs, nodes, loose))
-    members = nodes.join(found, nodes["id"] == found["node"], "left")
-    members = members.select("print", "doc_id", F.coalesce("component", "id").alias("component"))
-    least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    members = members.join(least, "component").select("print", "component_id")
-    return prints.where("doc_id is not null").select("doc_id", "print").join(members, "print").select("doc_id", "component_id")
+    return _grouped(docs).select("doc_id", F.col("least.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id.
+    """``docs`` with one row of each group of :func:`near_groups`: one with the smallest id, null last.
 
-    Rows that repeat an id that stays are reduced to one. Rows without id stay.
-    All columns are kept.
+    Rows are told apart by id and text: different texts that share an id, or have
+    none, are documents of their own, and equal rows are copies. Of several with the
+    smallest id, the one with the smallest digest stays; where id and text repeat, any
+    one of those rows. Null and empty texts are one group. All columns are kept, and an
+    empty table stays empty. Texts are shuffled only where a row may go.
     """
-    found = near_groups(docs)
-    # How often each kept id occurs; repeats of one id are told apart below.
-    keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    keep = stage(keep, "kept")
-    once = docs.join(keep.where("n = 1").select("doc_id"), "doc_id", "left_semi")
-    often = docs.join(keep.where("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(often).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    found = _grouped(docs)
+    counted = found.groupBy("key", F.expr("key = least.key").alias("stays")).agg(F.count("*").alias("n"))
+    counted = stage(counted, "decisions")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), document_key().alias("key"))
+    rows = _with_mark(rows, _marks(counted.where("n > 1 or not stays").select("key")))
+    doubtful = rows.where("marked").select("row", "key")
+    # Merge joins: the plan is the same at any size, and a key that repeats can be split.
+    once = doubtful.join(counted.where("stays and n = 1").select("key").hint("merge"), "key", "left_semi")
+    often = doubtful.join(counted.where("stays and n > 1").select("key").hint("merge"), "key", "left_semi")
+    kept = rows.where("not marked").select("row").unionAll(once.select("row"))
+    return kept.unionAll(often.dropDuplicates(["key"]).select("row")).select("row.*")

@@ -94,14 +94,28 @@ def test_keep_one(spark):
     near = list(text)
     near[100] = "changed"
     rows = [(5, " ".join(text)), (7, " ".join(near)), (9, " ".join(text)), (11, sentence(rng, 300)), (11, sentence(rng, 300))]
-    rows += [(None, "a"), (None, "a")]
+    rows += [rows[3], (None, "a"), (None, "a"), (None, sentence(rng, 300)), (None, " ".join(near)), (13, "b"), (None, "b")]
     kept = simhash.keep_one(documents(spark, rows)).collect()
-    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [5, 11]
-    assert sum(r.doc_id is None for r in kept) == 2
+    # Different texts of one id or of none stay, repeated ones and copies go, and an id comes before none.
+    want = [rows[0], rows[3], rows[4], rows[6], rows[8], (13, "b")]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(want, key=str)
+    groups = sorted(((r.doc_id, r.component_id) for r in simhash.near_groups(documents(spark, rows)).collect()), key=str)
+    assert groups == sorted([(5, 5), (7, 5), (9, 5), (11, 11), (11, 11), (11, 11), *[(None, None)] * 3, (None, 5), (13, 13), (None, 13)], key=str)
     assert simhash.keep_one(awkward(spark)).columns == awkward(spark).columns
     assert simhash.keep_one(empty(spark)).count() == 0
 
 
+def test_only_rows_that_may_go_are_joined(spark):
+    rng = random.Random(6)
+    rows = [(i, sentence(rng, 40)) for i in range(300)] + [(300, "same words in all of these"), (301, "same words in all of these")]
+    docs = documents(spark, rows)
+    keyed = simhash._keyed(docs)
+    marks = simhash._marks(keyed.where("doc_id >= 290"))
+    marked = {r.doc_id for r in simhash._with_mark(keyed, marks).where("marked").collect()}
+    assert set(range(290, 302)) <= marked and len(marked) < 20
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == list(range(301))
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, k) for k in range(1001, 1200)] + [(5000, 5000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
