@@ -1,8 +1,8 @@
 """Best-fit packing into bins of several permitted lengths (operator 6).
 
 Documents longer than the longest permitted length are cut into full bins and a
-rest; pieces are dealt to shards by hash, and each shard is packed by itself: best
-fit over pieces in falling order of length. Where no open bin has room, the size
+rest; pieces are numbered and dealt to shards by a hash of the number, and each
+shard is packed by itself: best fit over pieces in falling order of length. Where no open bin has room, the size
 to open is the one with the least expected cost per word: its cost over what it
 will hold, which is the piece plus as much of the free room as the pieces still
 to come can fill, less half the smallest of them. While much is to come the cheapest size per word wins, near
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import word_count
+from gaugeworks.session import stage
 
 LENGTHS = (512, 1024, 2048, 4096)
 #: Cost of a bin: a fixed part, in words, and one for each word of its length.
@@ -79,8 +80,9 @@ def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
     ``doc_id``, ``piece`` (from 0), ``start`` and ``words`` of the piece in the
     document, ``shard``, ``bin``, ``position`` in the bin, ``capacity`` and ``fill``
     of the bin. Null and empty texts, and those without words, make one piece of no
-    words, which fits any bin. Repeated rows are packed one by one, a null
-    ``doc_id`` stays null, and an empty table gives no rows. Other columns are not read.
+    words, which fits any bin. Repeated rows are packed one by one and spread over
+    shards, a null ``doc_id`` stays null, and an empty table gives no rows. Other
+    columns are not read.
     """
     longest = max(lengths)
     pieces = (
@@ -88,10 +90,12 @@ def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
         .withColumn("piece", F.explode(F.expr(f"sequence(0L, greatest(size - 1, 0L) div {longest})")))
         .withColumn("start", F.col("piece") * longest)
         .withColumn("words", F.least(F.lit(longest), F.col("size") - F.col("start")))
-        .select("doc_id", "piece", "start", "words")
+        .select("doc_id", "piece", "start", "words", F.monotonically_increasing_id().alias("number"))
     )
+    # Texts are read once; the number spreads equal rows over shards.
+    pieces = stage(pieces, "pieces")
     shards = max(1, -(-pieces.count() // SHARD_PIECES))
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "words"), F.lit(shards)))
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards))).drop("number")
 
     def fill(shard: pa.Table) -> pa.Table:
         shard = shard.sort_by([("words", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])

@@ -147,6 +147,44 @@ def test_pack_fits_and_downsizes():
     assert packing.pack(np.array([10]))[1] == [512]
 
 
+def plain_pack(sizes, lengths):
+    """The same rule, looking at every open bin for each piece."""
+    bins, open_bins, left = [], [], sum(sizes)  # an open bin: [length, room, when it last changed]
+    for n, size in enumerate(sizes):
+        left -= size
+        fitting = [b for b in open_bins if b[1] >= size and b[1] > 0]
+        if fitting:
+            chosen = min(fitting, key=lambda b: (b[1], -b[2]))
+        else:
+
+            def per_word(length):
+                room = length - size
+                more = min(max(room - sizes[-1] / 2, 0) if room >= sizes[-1] else 0, left)
+                return packing.cost(length) / max(size + more, 1)
+
+            chosen = [min((x for x in lengths if x >= size), key=lambda x: (per_word(x), x)), 0, 0]
+            chosen[1] = chosen[0]
+            open_bins.append(chosen)
+        chosen[1:] = [chosen[1] - size, n]
+        bins.append(next(k for k, b in enumerate(open_bins) if b is chosen))
+    return bins, [min(x for x in lengths if x >= length - room) for length, room, _ in open_bins]
+
+
+@pytest.mark.parametrize("most", [5, 300, 4096])
+def test_pack_equals_a_plain_packer(most):
+    rng = np.random.default_rng(most)
+    for n in (0, 1, 2, 40, 400):
+        sizes = np.sort(rng.integers(1, most + 1, n))[::-1]
+        bins, capacity = packing.pack(sizes)
+        assert (bins.tolist(), capacity) == plain_pack(sizes.tolist(), packing.LENGTHS)
+
+
+def test_equal_rows_spread_over_shards(spark):
+    rows = spark.range(9000).selectExpr("1L AS doc_id", "'a b c' AS text")
+    counts = [r["count"] for r in packing.packed(rows).groupBy("shard").count().collect()]
+    assert sum(counts) == 9000 and len(counts) == 5 and max(counts) < 1.2 * packing.SHARD_PIECES
+
+
 def test_packed(spark):
     df = awkward(spark)
     got = packing.packed(df).collect()
