@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from gaugeworks import settings
 
@@ -24,10 +25,19 @@ def join_dimension(
     return salted_join(facts, dimension, on)
 
 
+def _hashable(kind: DataType) -> bool:
+    """Maps and variants have no hash, nor has anything that holds one."""
+    if isinstance(kind, StructType):
+        return all(_hashable(field.dataType) for field in kind)
+    if isinstance(kind, ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, MapType | VariantType)
+
+
 def salted_join(facts: DataFrame, dimension: DataFrame, on: list[str], salts: int = SALTS) -> DataFrame:
     """Each key of the dimension is repeated per salt; facts take one salt each, by a
-    hash of the whole row: rows of a hot key may all lie in one partition."""
-    plain = [c for c, kind in facts.dtypes if not kind.startswith(("map", "variant"))]
+    hash of all columns that have one: rows of a hot key may all lie in one partition."""
+    plain = [F.col(f"`{field.name}`") for field in facts.schema if _hashable(field.dataType)]
     salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
     repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_facts.join(repeated, [*on, "_salt"]).drop("_salt")

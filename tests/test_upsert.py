@@ -98,3 +98,16 @@ def test_joins_agree(spark):
     assert sorted(joins.join_dimension(facts, dimension, ["k"]).collect()) == plain
     assert sorted(joins.join_dimension(facts, dimension, ["k"], max_rows=2).collect()) == plain
     assert sorted(joins.salted_join(facts, dimension, ["k"], salts=5).collect()) == plain
+
+
+def test_salted_join_takes_maps_at_any_depth(spark):
+    facts = spark.range(40).selectExpr(
+        "id % 3 AS k", "id AS v", "map('a', id) AS m", "named_struct('x', map('a', id), 'map', id) AS s",
+        "array(map('a', id)) AS l", "array(named_struct('map', id)) AS variant",
+    )
+    dimension = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c")], "k long, name string")
+    got = joins.salted_join(facts, dimension, ["k"], salts=5)
+    assert sorted((r.v, r.name) for r in got.collect()) == sorted(
+        (v, name) for v in range(40) for k, name in ((0, "a"), (1, "b"), (1, "c")) if v % 3 == k
+    )
+    assert got.columns == [*facts.columns, "name"]
