@@ -216,7 +216,8 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     Its text holds the words of the blocks drawn in that pass: the text as it is where
     all are drawn, else the words joined by blanks. Documents of which nothing is
-    taken go. Rows equal in id, source and size are treated alike. All columns are kept.
+    taken go, so do null texts and those without words. Rows equal in id, source and
+    size, nulls included, are treated alike. An empty table stays empty. All columns are kept.
     """
     sizes = stage(_sizes(docs), "sizes")
     sources = stage(with_draws(targets(sizes)), "sources")

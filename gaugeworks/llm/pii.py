@@ -420,7 +420,12 @@ def redacted(text: Column, w: Weights) -> Column:
 
 
 def without_personal_data(docs: DataFrame) -> DataFrame:
-    """``docs`` with redacted texts and their new lengths; all columns are kept."""
+    """``docs`` with redacted texts and their new lengths; all columns are kept.
+
+    Each row is redacted by itself, whether its id is null or repeated; a null text
+    stays null, and an empty table stays empty. ``n_chars`` is counted anew where the
+    table has it.
+    """
     out = docs.withColumn("text", redacted(F.col("text"), train(docs)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

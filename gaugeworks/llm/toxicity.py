@@ -316,6 +316,10 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_harmless(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with all columns."""
+    """The rows of ``docs`` that score below the threshold, with all columns.
+
+    Null texts score as empty ones. Repeated rows score alike, so all of them stay or
+    go; null ids count as fold 0 and meet no label. An empty table stays empty.
+    """
     model = fit(docs, labels.select("doc_id", "toxic").where(fold_of(4) != 2))
     return docs.where(score(F.col("text"), model) < THRESHOLD)
