@@ -32,6 +32,8 @@ PART_ROWS, PARTS = 400, 1000
 #: Draws that one row is unfolded to.
 CHUNK = 1 << 13
 ROUNDS = 20
+#: Rows equal in these are one another's copies; the digest is one of the text.
+ALIKE = ("doc_id", "source", "size", "digest")
 
 
 def permuted(index: Column, size: Column, *key: Column) -> Column:
@@ -92,12 +94,17 @@ def with_draws(sources: DataFrame) -> DataFrame:
 
 
 def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
-    """Documents that have words, each with the source's number and its place ``at`` in the stream."""
-    rows = sizes.where("size > 0").join(sources.select("number", "source"), sizes["source"].eqNullSafe(sources["source"]))
-    rows = rows.select("doc_id", "number", "size")
+    """Documents that have words, each with the source's number and its place ``at`` in the stream.
+
+    Rows alike in all columns of ``ALIKE`` are placed as one and told apart by ``copy`` afterwards, so a
+    group of any size is one row of the sums.
+    """
+    alike = sizes.where("size > 0").groupBy(*ALIKE).agg(F.count("*").alias("copies"))
+    rows = alike.join(sources.select("number", "source"), alike["source"].eqNullSafe(sources["source"]))
+    rows = stage(rows.select("doc_id", "number", "size", "digest", "copies"), "alike")
     parts = max(1, -(-rows.count() // PART_ROWS))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "size"), F.lit(parts)))
-    rows = rows.withColumn("wide", F.floor(F.col("part") / PARTS))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "size", "digest"), F.lit(parts)))
+    rows = rows.withColumn("wide", F.floor(F.col("part") / PARTS)).withColumn("length", F.col("size") * F.col("copies"))
 
     def upto(*keys: str, by: tuple[str, ...]):
         return Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
@@ -105,15 +112,40 @@ def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     def running(column: str, window) -> Column:
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
-    in_part = running("size", upto("number", "part", by=("doc_id", "size")))
+    in_part = running("length", upto("number", "part", by=("doc_id", "size", "digest")))
     rows = rows.withColumn("in_part", in_part)
-    sums = stage(rows.groupBy("number", "wide", "part").agg(F.sum("size").alias("words")), "parts")
+    sums = stage(rows.groupBy("number", "wide", "part").agg(F.sum("length").alias("words")), "parts")
     wide = sums.groupBy("number", "wide").agg(F.sum("words").alias("words"))
     wide = wide.select("number", "wide", running("words", upto("number", by=("wide",))).alias("to_wide"))
     sums = sums.withColumn("to_part", running("words", upto("number", "wide", by=("part",))))
     sums = sums.join(wide, ["number", "wide"]).select("number", "part", (F.col("to_wide") + F.col("to_part")).alias("to"))
-    return rows.join(sums, ["number", "part"]).select(
-        "doc_id", "number", "size", (F.col("to") + F.col("in_part")).cast("long").alias("at")
+    return (
+        rows.join(sums, ["number", "part"])
+        .withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
+        .select(
+            "doc_id", "number", "size", "digest", "copy",
+            (F.col("to") + F.col("in_part") + F.col("copy") * F.col("size")).cast("long").alias("at"),
+        )
+    )
+
+
+def with_copies(sizes: DataFrame) -> DataFrame:
+    """Numbers rows alike by ``row``, from 0: ``copy``. They are counted within each partition of ``row``
+    and from partition to partition, so no task takes a whole group."""
+    rows = sizes.withColumn("partition", F.shiftrightunsigned("row", 33))
+    here = Window.partitionBy(*ALIKE, "partition").orderBy("row")
+    upto = Window.partitionBy(*ALIKE).orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        rows.groupBy(*ALIKE, "partition").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(upto))
+        .where("before > 0")
+        .select(*(F.col(c).alias(f"_{c}") for c in (*ALIKE, "partition")), "before")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*ALIKE, "partition")]
+    # Few rows unless many are alike; staged, so that Spark knows how many.
+    return (
+        rows.withColumn("here", F.row_number().over(here) - 1)
+        .join(stage(before, "before"), same, "left")
+        .select(*ALIKE, "row", (F.col("here") + F.coalesce("before", F.lit(0))).cast("long").alias("copy"))
     )
 
 
@@ -174,8 +206,10 @@ def pieces(documents: DataFrame, drawn: DataFrame) -> DataFrame:
     )
 
 
-def _sizes(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+def _sizes(docs: DataFrame, *more: Column) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    source = F.col("source").cast("string").alias("source")
+    return docs.select("doc_id", source, word_count(F.col("text")).alias("size"), F.xxhash64(text).alias("digest"), *more)
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -216,30 +250,29 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     Its text holds the words of the blocks drawn in that pass: the text as it is where
     all are drawn, else the words joined by blanks. Documents of which nothing is
-    taken go, so do null texts and those without words. Rows equal in id, source and
-    size, nulls included, are treated alike. An empty table stays empty. All columns are kept.
+    taken go, so do null texts and those without words. Every row has a plan of its
+    own, whatever its id: of rows alike, null ids included, each is one of the copies
+    that :func:`mix` counts. An empty table stays empty. All columns are kept.
     """
-    sizes = stage(_sizes(docs), "sizes")
+    # The rows are numbered as they are written; the narrow side is shuffled by content, whole rows once by number.
+    number = F.monotonically_increasing_id().alias("row")
+    held = stage(_sizes(docs, number, F.struct(*docs.columns).alias("columns")), "rows")
+    sizes = held.select(*ALIKE, "row")
     sources = stage(with_draws(targets(sizes)), "sources")
     plan = (
         pieces(placed(sizes, sources), slots(sources))
-        .groupBy("number", "at", "doc_id", "size")
+        .groupBy("number", "at", "doc_id", "size", "digest", "copy")
         .agg(F.array_sort(F.collect_list(F.struct("from", "words", "uses"))).alias("plan"))
-        .groupBy("number", "doc_id", "size")
-        .agg(F.min_by("plan", "at").alias("plan"))
+        .where("exists(plan, p -> p.uses > 0)")
         .join(sources.select("number", "source"), "number")
-        .select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_words"), "plan")
+        .select(*(F.col(c).alias(f"_{c}") for c in (*ALIKE, "copy")), "plan")
     )
-    rows = docs.select(F.struct(*docs.columns).alias("row"), word_count(F.col("text")).alias("size"))
-    same = (
-        rows["row.doc_id"].eqNullSafe(plan["_doc"])
-        & rows["row.source"].cast("string").eqNullSafe(plan["_source"])
-        & (rows["size"] == plan["_words"])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*ALIKE, "copy")]
+    plan = with_copies(sizes.where("size > 0")).join(plan.hint("merge"), same).select("row", "plan")
+    taken = held.select("row", "columns").join(plan.hint("merge"), "row").withColumn(
+        "turn", F.explode(F.expr("sequence(0, array_max(transform(plan, p -> p.uses)) - 1)"))
     )
-    taken = rows.join(plan.hint("merge"), same).withColumn(
-        "turn", F.explode(F.expr("sequence(0, greatest(array_max(transform(plan, p -> p.uses)), 1) - 1)"))
-    ).where("exists(plan, p -> p.uses > turn)")
-    words = F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    words = F.regexp_extract_all("columns.text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     chosen = F.filter("plan", lambda p: p["uses"] > F.col("turn"))
     # The words are bound once: an expression inside a lambda would be evaluated for each piece.
     text = F.transform(
@@ -248,9 +281,9 @@ def mixed(docs: DataFrame) -> DataFrame:
             F.flatten(F.transform(chosen, lambda p: F.slice(w, (p["from"] + 1).cast("int"), p["words"].cast("int")))), " "
         ),
     )[0]
-    text = F.when(F.expr("forall(plan, p -> p.uses > turn)"), F.col("row.text")).otherwise(text)
+    text = F.when(F.expr("forall(plan, p -> p.uses > turn)"), F.col("columns.text")).otherwise(text)
     out = taken.withColumn("mixed", text)
-    kept = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("mixed")}
+    kept = {c: F.col(f"columns.`{c}`") for c in docs.columns} | {"text": F.col("mixed")}
     if "n_chars" in docs.columns:
         kept["n_chars"] = F.length("mixed").cast(docs.schema["n_chars"].dataType)
     return out.select(*(kept[c].alias(c) for c in docs.columns))

@@ -131,6 +131,28 @@ def test_mixed_documents_hold_what_the_mix_takes(spark):
     assert mixing.mixed(empty(spark)).count() == 0
 
 
+def test_rows_alike_have_plans_of_their_own(spark):
+    """Null and repeated ids: words taken in all are those the mix reports, each row's from its own text."""
+    rows = [(None, " ".join(f"n{i}x{k}" for k in range(70)), "a") for i in range(30)]
+    rows += [(7, " ".join(f"r{k}" for k in range(150)), "a")] * 25 + [(None, "one two three", None)] * 40
+    rows += [(i, " ".join(f"w{i}x{k}" for k in range(90)), "b") for i in range(100, 130)]
+    df = documents(spark, rows).repartition(6)
+    got, taken = mixing.mixed(df).collect(), mixing.mix(df).collect()
+    sizes, want = Counter(), Counter()
+    for r in got:
+        sizes[r.doc_id, r.source] += len(r.text.split())
+    for r in taken:
+        want[r.doc_id, r.source_size] += r.taken
+    assert sorted(sizes.values()) == sorted(n for n in want.values() if n)
+    used = Counter(w for r in got if r.source == "a" and r.doc_id is None for w in r.text.split())
+    assert max(used.values()) <= 2 and len({w.split("x")[0] for w in used}) > 10
+    copies = Counter(w for r in got if r.doc_id == 7 for w in r.text.split())
+    assert max(copies.values()) <= 50 and sum(copies.values()) == sizes[7, "a"]
+    numbered = mixing.with_copies(mixing._sizes(df, F.monotonically_increasing_id().alias("row"))).collect()
+    assert sorted(r.copy for r in numbered if r.doc_id == 7) == list(range(25))
+    assert sorted(r.copy for r in numbered if r.source is None) == list(range(40))
+
+
 def test_pack_fits_and_downsizes():
     rng = np.random.default_rng(0)
     sizes = -np.sort(-rng.integers(0, 4097, 3000))
