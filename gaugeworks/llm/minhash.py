@@ -155,7 +155,8 @@ def with_edits(docs: DataFrame) -> DataFrame:
     The edited text is the text without its last quarter, followed by as many
     characters from the start of the next document. Null texts are empty; texts
     without words have the fingerprint "". Where an id repeats, each row is
-    fingerprinted, and the next document is the smallest text of the next id. Rows
+    fingerprinted, and the next document is, for both the edit and ``near_next``, the
+    text of the next id with the smallest hash. Rows
     without ``doc_id`` have no next document: nothing replaces their last quarter,
     and ``near_next`` is null. An empty table gives no rows; other columns are not read.
     """
@@ -168,9 +169,9 @@ def with_edits(docs: DataFrame) -> DataFrame:
     wanted = F.substring(F.col("text"), F.lit(1), F.floor(F.col("before_n") / 4).cast("int"))
     starts = (
         docs.join(order.select("doc_id", "before_id", "before_n"), "doc_id")
-        .select(F.col("before_id").alias("doc_id"), wanted.alias("start"))
+        .select(F.col("before_id").alias("doc_id"), wanted.alias("start"), F.xxhash64("text").alias("which"))
         .groupBy("doc_id")
-        .agg(F.min("start").alias("start"))
+        .agg(F.min_by("start", "which").alias("start"))
     )
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = (
@@ -187,10 +188,11 @@ def with_edits(docs: DataFrame) -> DataFrame:
         .withColumn("edited_sha256", F.sha2("edited", 256))
     )
     both = fingerprint(fingerprint(edited, "text", "bins"), "edited", "edited_bins")
-    both = stage(both.select("doc_id", "n_chars", "edited_sha256", "bins", "edited_bins"), "fingerprints")
+    which = F.xxhash64("text").alias("which")
+    both = stage(both.select("doc_id", "n_chars", "edited_sha256", "bins", "edited_bins", which), "fingerprints")
     nexts = (
         order.select(F.col("doc_id").alias("of"), "next_id")
-        .join(both.groupBy("doc_id").agg(F.min("bins").alias("next_bins")), F.col("next_id") == F.col("doc_id"))
+        .join(both.groupBy("doc_id").agg(F.min_by("bins", "which").alias("next_bins")), F.col("next_id") == F.col("doc_id"))
         .select(F.col("of").alias("doc_id"), "next_bins", F.lit(True).alias("has_next"))
     )
     return both.join(nexts, "doc_id", "left").select(

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import zlib
@@ -186,6 +187,21 @@ def test_fingerprints_estimate_likeness(spark):
     assert {len(r.fingerprint) for r in got.values()} == {2 * minhash.BINS}
 
 
+def test_next_of_a_repeated_id_is_one_text(spark):
+    """The edit and ``near_next`` go by the same text of the next id, one that may have no words."""
+    rng = random.Random(5)
+    same = {i: [sentence(rng, 60) for _ in range(3)] for i in (2, 4)}
+    rows = [(i, t) for i in same for t in same[i]] + [(i - 1, t) for i in same for t in same[i]] + [(6, " "), (5, " ")]
+    got = minhash.with_edits(documents(spark, rows)).collect()
+    by_id = {i: [r for r in got if r.doc_id == i] for i in range(1, 7)}
+    for i in (1, 3):
+        assert sorted(r.near_next for r in by_id[i])[-1] == 1.0 and sorted(r.near_next for r in by_id[i])[-2] < 0.5
+        (like,) = [r for r in by_id[i] if r.near_next == 1.0]
+        (text,) = [t for t in same[i + 1] if hashlib.sha256((t[: len(t) - len(t) // 4] + t[: len(t) // 4]).encode()).hexdigest() == like.edited_sha256]
+        assert text in same[i + 1]
+    assert [r.near_next for r in by_id[5]] == [1.0] and [r.near_next for r in by_id[4]] == [0.0] * 3
+
+
 def test_fingerprints_of_awkward_rows(spark):
     df = awkward(spark)
     got = minhash.with_edits(df).collect()
