@@ -401,6 +401,7 @@ SELECT {_SILVER_COLUMNS} FROM (
     "silver_stream": _with(f"SELECT {_SILVER_COLUMNS} FROM silver", "silver"),
     "sentinel_to_null": _with(f"SELECT {_SILVER_COLUMNS} FROM readings", "readings"),
     "gold_hourly": _with(f"SELECT {_hourly_columns()} FROM hourly", "hourly"),
+    "gold_hourly_stream": _with(f"SELECT {_hourly_columns()} FROM hourly", "hourly"),
     "gold_hourly_from_parts": _with(f"SELECT {_hourly_columns()} FROM hourly", "hourly"),
     "gold_daily": _with(f"SELECT {_daily_columns()} FROM daily", "daily"),
     "gold_daily_from_hours": _with(f"SELECT {_daily_columns()} FROM daily", "daily"),

@@ -26,11 +26,13 @@ from gaugeworks.sources.schemas import READING
 from gaugeworks.sources.tables import read_table, run_sql, write_table
 from gaugeworks.streaming import bronze as bronze_stream
 from gaugeworks.streaming import delivery
+from gaugeworks.streaming import gold as gold_stream
 from gaugeworks.streaming.silver import bronze_stream as new_bronze_files
 from gaugeworks.streaming.silver import upsert_stream
 
 AS_OF = "2024-01-31 00:00:00"
 FIRST_PERIOD = "2024-01-01 00:00:00"
+MIDDLE = "2024-01-16 00:00:00"
 RECOMPUTED_SINCE = "2024-01-25"
 # The default frame of 2 rows cannot reach the threshold; 14 days can.
 RISK_FRAME = 14
@@ -216,6 +218,20 @@ def gold_daily_from_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.daily_from_parts(parts).drop("_computed_at")
 
 
+@register
+def gold_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries, each taken by a run of the stream: the first half, the second, and a tenth of all, late."""
+    readings = stage(_readings(spark, sf_dir), "readings")
+    root, feed = work_path(spark, "gold-stream"), work_path(spark, "feed")
+    is_late = F.coalesce(F.col("entry_id") % 10 == 3, F.lit(False))
+    first = F.coalesce(F.col("recorded_at") < F.lit(MIDDLE).cast("timestamp"), F.lit(False))
+    for rows in (readings.where(first & ~is_late), readings.where(~first & ~is_late), readings.where(is_late)):
+        rows.write.mode("append").parquet(feed)
+        new = spark.readStream.schema(readings.schema).parquet(feed)
+        gold_stream.run_hourly(new, root, f"{root}/checkpoint", now=AS_OF)
+    return gold_stream.hourly_now(spark, root, now=AS_OF).drop("_computed_at")
+
+
 @register
 def gold_hourly_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = rollups.hour_parts(_readings(spark, sf_dir))
