@@ -36,11 +36,13 @@ def _hashable(kind: DataType) -> bool:
 
 def salted_join(facts: DataFrame, dimension: DataFrame, on: list[str], salts: int = SALTS) -> DataFrame:
     """Each key of the dimension is repeated per salt; facts take one salt each, by a
-    hash of all columns that have one: rows of a hot key may all lie in one partition."""
+    hash of all columns that have one: rows of a hot key may all lie in one partition.
+
+    Spark takes the repeated side for as small as it was before, and would broadcast it; the hint keeps it off the driver."""
     plain = [F.col(f"`{field.name}`") for field in facts.schema if _hashable(field.dataType)]
     salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
     repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(repeated, [*on, "_salt"]).drop("_salt")
+    return salted_facts.join(repeated.hint("merge"), [*on, "_salt"]).drop("_salt")
 
 
 def merge_rows(

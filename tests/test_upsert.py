@@ -100,6 +100,15 @@ def test_joins_agree(spark):
     assert sorted(joins.salted_join(facts, dimension, ["k"], salts=5).collect()) == plain
 
 
+def test_salted_join_broadcasts_no_repeated_dimension(spark, tmp_path):
+    spark.range(2000).selectExpr("id % 50 k", "id v").write.parquet(f"{tmp_path}/facts")
+    spark.range(50).selectExpr("id k", "id * 2 w").write.parquet(f"{tmp_path}/dimension")
+    facts, dimension = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("facts", "dimension"))
+    joined = joins.salted_join(facts, dimension, ["k"])
+    assert joined.count() == 2000
+    assert "Broadcast" not in joined._jdf.queryExecution().toString()
+
+
 def test_salted_join_takes_maps_at_any_depth(spark):
     facts = spark.range(40).selectExpr(
         "id % 3 AS k", "id AS v", "map('a', id) AS m", "named_struct('x', map('a', id), 'map', id) AS s",
