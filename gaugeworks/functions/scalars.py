@@ -51,6 +51,31 @@ def guarded_zscore(value: Column, mean: Column, deviation: Column) -> Column:
     return F.when(deviation > 0, (value - mean) / deviation).otherwise(F.lit(0.0))
 
 
+# A number is split at 2**-24, and what is left at 2**-60.
+HIGH_BITS, LOW_BITS, HIGH_LIMIT = 24, 36, 2.0**27
+
+
+def split_number(value: Column) -> tuple[Column, Column, Column]:
+    """``high``, ``low`` and ``fits``: bigints with ``value == (high + low / 2**36) / 2**24``, exactly.
+
+    Sums of bigints do not depend on the order of rows, as sums of doubles do. ``fits`` is false for
+    numbers that are too large, too fine or not finite; all are null for null.
+    """
+    scaled = value * F.lit(2.0**HIGH_BITS)
+    high = F.when(F.abs(value) < HIGH_LIMIT, F.floor(scaled))
+    rest = (scaled - high) * F.lit(2.0**LOW_BITS)
+    low = F.floor(rest)
+    fits = F.when(value.isNotNull(), F.coalesce(rest == low, F.lit(False)))
+    return F.when(fits, high), F.when(fits, low), fits
+
+
+def joined_mean(high: Column, low: Column, n: Column) -> Column:
+    """The mean of ``n`` numbers from the sums of their parts: their exact sum, rounded once, by ``n``. Null beyond bigint."""
+    carried = F.try_add(high, F.call_function("shiftright", low, F.lit(LOW_BITS)))
+    rest = low.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+    return F.try_divide((carried.cast("double") + rest / F.lit(2.0**LOW_BITS)) / F.lit(2.0**HIGH_BITS), n)
+
+
 def whole_minutes(start: Column, end: Column) -> Column:
     """Whole minutes from start to end, truncated toward zero."""
     return F.timestamp_diff("MINUTE", start, end)

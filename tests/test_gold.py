@@ -81,6 +81,26 @@ def test_parts_give_the_same_tables(spark):
         assert sorted(map(str, direct.collect())) == sorted(map(str, merged.collect()))
 
 
+def test_averages_do_not_depend_on_the_order_of_rows(spark):
+    # 0.1 + 0.2 + 0.3 is not 0.3 + 0.2 + 0.1 for doubles; large numbers hide small ones.
+    values = [0.1, 0.2, 0.3, 1e7, -1e7, 58.53]
+    rows = [("d1", f"2024-01-1{day}T{10 + i // 3}:00:00", v) for day, vs in ((5, values), (6, values[::-1]), (7, values[3:] + values[:3])) for i, v in enumerate(vs)]
+    df = silver(spark, *rows).coalesce(1)
+    for found in (rollups.daily(df), rollups.daily_from_parts(rollups.hour_parts(df))):
+        assert {r["avg_vibration_rms"] for r in found.collect()} == {math.fsum(values) / 6}
+        assert zscores(scoring.zscore_daily(found)) == [0.0, 0.0, 0.0]
+    hours = sorted((r["window_start"], r["avg_vibration_rms"]) for r in rollups.hourly(df).collect())
+    assert hours == sorted((r["window_start"], r["avg_vibration_rms"]) for r in rollups.hourly_from_parts(rollups.hour_parts(df)).collect())
+
+
+def test_averages_of_numbers_beyond_the_exact_form(spark):
+    inf = float("inf")
+    for values, expected in (([1e300, 3e300], 2e300), ([1e-300, 3e-300], 2e-300), ([1.0, inf], inf), ([-1.5, -2.5], -2.0), ([None, None], None)):
+        df = silver(spark, *[("d1", f"2024-01-15T1{i}:00:00", v) for i, v in enumerate(values)])
+        for found in (rollups.daily(df), rollups.daily_from_parts(rollups.hour_parts(df))):
+            assert found.first()["avg_vibration_rms"] == expected
+
+
 def zscores(df):
     return [r["vibration_zscore"] for r in df.orderBy("device_id", "date").collect()]
 
