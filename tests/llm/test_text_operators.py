@@ -332,6 +332,13 @@ def test_copies_are_averaged_by_their_words():
     assert level.num_rows == 3 and scoring._averaged(level).to_pylist()[0]["net"] == pytest.approx(want, abs=1e-6)
 
 
+def test_every_training_word_trains_the_network(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "CHUNK_WORDS", 500)
+    docs = corpus(spark).unionAll(documents(spark, [(None, "x1 x2"), (7, None)]))
+    model = scoring.fit(docs, scoring.counts(docs))
+    assert model.trained == model.vocabulary.all_words > 500
+
+
 def test_more_copies_than_one_task_averages(spark, monkeypatch):
     """With levels of two copies the network is the same but for rounding."""
     docs = documents(spark, [(i, sentence(random.Random(i), 60)) for i in range(400)])
