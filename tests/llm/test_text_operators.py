@@ -347,3 +347,14 @@ def test_more_copies_than_one_task_averages(spark, monkeypatch):
     monkeypatch.setattr(scoring, "FAN", 2)
     got = {r.doc_id: r.score for r in scoring.scored(docs).collect()}
     assert got == pytest.approx(want, rel=1e-4) and len(set(got.values())) > 300
+
+
+def test_tokens_of_a_batch_are_those_of_each_text():
+    every = ["", " ", "  A\x0bb C\x0c\x0d", "x", "x ", "\ttab\nnew  Two\x1c\x1d", "Ä\xa0y\x85z q İΣ", "\x00 \x00"]
+    for chosen in (every, every[:1], []):
+        found, starts = scoring._tokens(pa.array(chosen, pa.string()))
+        want = [scoring.tokens(x) for x in chosen]
+        assert found.to_pylist() == sum(want, [])
+        assert starts.tolist() == [sum(map(len, want[:i])) for i in range(len(want))]
+        numbers = scoring._documents(pa.array(chosen, pa.string()), scoring._numbering([b"x", b"", b"b"]))
+        assert [d.tolist() for d in numbers] == [[{"x": 0, "": 1, "b": 2}.get(w, 3) for w in d] for d in want]
