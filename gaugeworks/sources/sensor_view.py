@@ -25,6 +25,11 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """The events dealt over all cores, for costly work on each row: a file with few row groups is read by few tasks."""
+    return events.repartition(events.sparkSession.sparkContext.defaultParallelism * 2, "event_id")
+
+
 def device_name(user_id: Column) -> Column:
     return F.format_string("device-%06d", user_id)
 
@@ -110,7 +115,7 @@ def feed_payloads(events: DataFrame) -> DataFrame:
 
 def untimed_payloads(events: DataFrame) -> DataFrame:
     """The feed payloads; every 23rd has an empty time."""
-    untimed = events.withColumn("untimed", F.col("event_id") % 23 == 0)
+    untimed = spread(events).withColumn("untimed", F.col("event_id") % 23 == 0)
     rows = feed_payloads(untimed.filter("NOT untimed"))
     emptied = F.regexp_replace("payload", r'("feeds":\[\{[^}]*?"created_at":")[^"]*', "$1")
     return rows.unionByName(feed_payloads(untimed.filter("untimed")).withColumn("payload", emptied))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions import scalars
 from gaugeworks.sources import contract, feeds, landing, tables
+from gaugeworks.sources import sensor_view as view
 from gaugeworks.sources.schemas import READING
 
 
@@ -209,3 +210,17 @@ def test_sql_text(spark):
     df = tables.run_sql(spark, "SELECT sum(v) AS s FROM things WHERE day = :day", {"things": dated(spark, ("a", 1), ("b", 2))}, day="b")
     assert df.collect() == [(2,)]
     assert tables.run_sql(spark, "SELECT TIMESTAMP '2024-01-01' AS t").first()["t"] == at("2024-01-01")
+
+
+def test_costly_payloads_are_spread_over_all_cores(spark, tmp_path):
+    """Files have few row groups; what is parsed after the scan must not stay in as few tasks."""
+    path = str(tmp_path / "events.parquet")
+    rows = spark.range(1000).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.5D AS value", "'{\"k\": 1}' AS props"
+    )
+    rows.coalesce(1).write.parquet(path)
+    events = view.read_events(spark, str(tmp_path))
+    for made in (view.untimed_payloads(events),):
+        held = made.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(row["count"] for row in held) == 1000
+        assert len(held) >= spark.sparkContext.defaultParallelism
