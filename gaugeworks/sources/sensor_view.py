@@ -72,7 +72,7 @@ def moving_deliveries(events: DataFrame, again: bool) -> DataFrame:
     if again:
         events = events.filter((F.col("event_id") % 10 == 0) | (F.to_date("ts") == F.lit(EMPTIED).cast("date")))
         events = events.withColumn("ts", F.col("ts") + day)
-    readings = _readings(events.withColumn("again", F.lit(again)))
+    readings = _readings(spread(events).withColumn("again", F.lit(again)))
     entry_id = F.when(F.col("entry_id") % 89 != 0, F.col("entry_id"))
     return readings.withColumn("entry_id", entry_id).withColumn("ingested_at", F.date_format("_ingested_at", ISO_FORMAT))
 

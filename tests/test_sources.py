@@ -220,7 +220,7 @@ def test_costly_payloads_are_spread_over_all_cores(spark, tmp_path):
     )
     rows.coalesce(1).write.parquet(path)
     events = view.read_events(spark, str(tmp_path))
-    for made in (view.untimed_payloads(events),):
+    for made in (view.untimed_payloads(events), view.moving_deliveries(events, False)):
         held = made.groupBy(F.spark_partition_id()).count().collect()
         assert sum(row["count"] for row in held) == 1000
         assert len(held) >= spark.sparkContext.defaultParallelism
