@@ -48,6 +48,8 @@ MAX_SEGMENTS = 8
 QUANTILES, SPLIT_BITS = 64, 6
 #: Bits of a filter for each key, bits a key sets, and bits of one bitmap (fixed by Spark).
 KEY_BITS, KEY_PLACES, BITMAP = 16, 3, 32_768
+#: Keys that look into one copy of a bitmap, about; more keys get more copies.
+PROBES = 100_000
 
 
 # --- the directory --------------------------------------------------------------------
@@ -282,7 +284,7 @@ def write_filters(keys: DataFrame, counts: dict[int, int], path: str) -> dict[in
     """
     buckets = {number: max(1, -(-rows * KEY_BITS // BITMAP)) for number, rows in counts.items()}
     sizes = keys.sparkSession.createDataFrame(list(buckets.items()), f"{SEGMENT} int, _buckets int")
-    placed = keys.join(sizes, SEGMENT).select(
+    placed = keys.join(F.broadcast(sizes), SEGMENT).select(
         SEGMENT, _bucket(F.col("_buckets")).alias("bucket"), F.explode(F.array(*_places())).alias("place")
     )
     maps = placed.groupBy(SEGMENT, "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
@@ -295,18 +297,26 @@ def _bit(bitmap: Column, place: Column) -> Column:
     return F.call_function("shiftright", byte.cast("int"), place.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
-def possible_segments(rows: DataFrame, held: dict[int, list[Segment]], path: str, null_safe: bool) -> list[Segment]:
-    """Segments whose filter passes a key of ``rows``, which carry their leaf; ``held`` are the candidates by leaf."""
+def possible_segments(
+    rows: DataFrame, held: dict[int, list[Segment]], path: str, null_safe: bool, incoming: dict[int, int] | None = None
+) -> list[Segment]:
+    """Segments whose filter passes a key of ``rows``, which carry their leaf; ``held`` are the candidates by leaf,
+    ``incoming`` the rows of each. A small segment that many rows look into has copies of its filter, so no task gets them all."""
     spark = rows.sparkSession
     names = {segment.name: segment for segments in held.values() for segment in segments}
     if not names:
         return []
-    listed = [(leaf, s.run, s.number, s.buckets) for leaf, segments in held.items() for s in segments]
-    where = spark.createDataFrame(listed, f"{LEAF} int, _run string, {SEGMENT} int, _buckets int")
+    listed = [
+        (leaf, s.run, s.number, s.buckets, -(-(incoming or {}).get(leaf, 1) // (s.buckets * PROBES)))
+        for leaf, segments in held.items()
+        for s in segments
+    ]
+    where = spark.createDataFrame(listed, f"{LEAF} int, _run string, {SEGMENT} int, _buckets int, _copies int")
     keys = rows.select(LEAF, *settings.KEYS) if null_safe else rows.select(LEAF, *settings.KEYS).filter(_complete())
-    probes = keys.join(where, LEAF).select(
-        "_run", SEGMENT, _bucket(F.col("_buckets")).alias("bucket"), *[place.alias(f"_p{i}") for i, place in enumerate(_places())]
-    )
+    probes = keys.join(F.broadcast(where), LEAF).select(
+        "_run", SEGMENT, _bucket(F.col("_buckets")).alias("bucket"), F.pmod(_key_hash(3), "_copies").cast("int").alias("_copy"),
+        *[place.alias(f"_p{i}") for i, place in enumerate(_places())],
+    )
     root = f"{path.rstrip('/')}/{FILTERS}"
     # A run's filters lie in one folder; of its files the row groups of other segments are skipped.
     maps = spark.read.parquet(*sorted({f"{root}/{segment.run}" for segment in names.values()}))
@@ -314,7 +324,9 @@ def possible_segments(rows: DataFrame, held: dict[int, list[Segment]], path: str
     maps = maps.filter(F.col(SEGMENT).between(numbers[0], numbers[-1])).select(
         F.regexp_extract("_metadata.file_path", rf"{FILTERS}/([^/]+)/[^/]+$", 1).alias("_run"), SEGMENT, "bucket", "bits"
     )
-    passed = probes.join(maps, ["_run", SEGMENT, "bucket"])
+    copied = where.select("_run", SEGMENT, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
+    maps = maps.join(F.broadcast(copied), ["_run", SEGMENT])  # a row for each segment, and for each copy
+    passed = probes.join(maps, ["_run", SEGMENT, "bucket", "_copy"])
     for i in range(KEY_PLACES):
         passed = passed.filter(_bit(F.col("bits"), F.col(f"_p{i}")))
     found = passed.select("_run", SEGMENT).distinct().collect()
@@ -383,7 +395,7 @@ def upsert_blocks(
         outgrown = {number: n for number, n in grown.items() if n > limit}
         held = {number: list(directory.leaves[number].segments) for number in incoming}
         checked = {number: segments for number, segments in held.items() if segments}
-        possible = possible_segments(homed, checked, path, null_safe)
+        possible = possible_segments(homed, checked, path, null_safe, incoming)
         hit = hit_segments(rows, possible, path, null_safe)
         gone = []
         for number, segments in held.items():

@@ -81,6 +81,21 @@ def test_filters_let_few_segments_pass(spark, path):
     assert len(blocks.possible_segments(there, held, path("t"), False)) >= 2
 
 
+def test_many_keys_for_one_small_segment_are_shared_out(spark, path, monkeypatch):
+    """All keys of a batch look into the one bitmap of a small table: no join may bring them into one group."""
+    monkeypatch.setattr(blocks, "PROBES", 10)
+    upsert_blocks(batch(spark, [("d1", i, 1) for i in range(20)]), path("t"), limit=10_000)
+    found = Directory.load(spark, path("t"))
+    held = {n: list(leaf.segments) for n, leaf in enumerate(found.leaves) if leaf.segments}
+    for ids, hits in ((range(19, 400), 1), (range(1_000, 1_003), 0)):
+        rows = blocks.routed(batch(spark, [("d1", i, 2) for i in ids]), found)
+        incoming = {row["_leaf"]: row["count"] for row in rows.groupBy("_leaf").count().collect()}
+        assert len(blocks.possible_segments(rows, held, path("t"), False, incoming)) >= hits
+    monkeypatch.setattr(blocks, "PROBES", 1)
+    upsert_blocks(batch(spark, [("d1", i, 2) for i in range(15, 60)]), path("t"), limit=10_000)
+    assert contents(spark, path("t")) == [("d1", i, 1.0 if i < 15 else 2.0) for i in sorted(range(60), key=lambda i: str(("d1", i)))]
+
+
 def test_untouched_folders_are_neither_listed_nor_read(spark, path):
     upsert_blocks(batch(spark, [("d1", i, 1) for i in range(1000)]), path("t"), limit=100)
     found = Directory.load(spark, path("t"))
