@@ -333,13 +333,18 @@ def possible_segments(
     return [names[f"{row['_run']}/{SEGMENT}={row[SEGMENT]}"] for row in found]
 
 
+def segment_name(file: Column) -> Column:
+    """``<run>/_segment=<number>`` of a segment's file. It is taken for every stored row: a regular expression would search
+    the whole path, in time that grows with the square of its folders' names."""
+    return F.substring_index(F.substring_index(file, "/", -3), "/", 2)
+
+
 def hit_segments(rows: DataFrame, possible: list[Segment], path: str, null_safe: bool) -> set[str]:
     """The segments that do hold a key of ``rows``; of the others only the key columns are read."""
     stored = _read(rows.sparkSession, path, possible)
     if stored is None:
         return set()
-    name = F.regexp_extract("_metadata.file_path", rf"([^/]+/{SEGMENT}=[0-9]+)/[^/]+$", 1).alias("_name")
-    found = _matched(stored.select(*settings.KEYS, name), rows, null_safe)
+    found = _matched(stored.select(*settings.KEYS, segment_name(F.col("_metadata.file_path")).alias("_name")), rows, null_safe)
     return {row[0] for row in found.select("_name").distinct().collect()}
 
 

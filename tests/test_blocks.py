@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from conftest import at
@@ -249,3 +250,27 @@ def test_jobs_on_split_blocks_equal_those_on_fixed_blocks(spark, path, monkeypat
         found[split] = sorted(map(tuple, read_table(spark, where.daily).drop("_computed_at").collect()), key=str)
         assert blocks.has_directory(spark, where.silver) == split
     assert found[True] == found[False] and len(found[True]) == 9
+
+
+def test_names_of_segments_are_cut_without_a_search_of_the_path(spark):
+    """A search of the whole path for every stored row takes a time that grows with the square of its folders' names."""
+    paths = ["file:/a b/c%20d/t/run-1-0a/_segment=7/part-0.parquet", f"s3://b/{'x' * 200}/run-12-ff/_segment=130/part-1-_segment=2.parquet"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string").select(blocks.segment_name(F.col("p")).alias("name"))
+    assert [r["name"] for r in rows.collect()] == ["run-1-0a/_segment=7", "run-12-ff/_segment=130"]
+    long = F.concat(F.lit(f"file:/{'y' * 4000}/run-1-0a/_segment="), F.col("id") % 3, F.lit("/part-0.parquet"))
+    started = time.monotonic()
+    names = spark.range(50_000).select(blocks.segment_name(long).alias("name")).distinct().collect()
+    assert sorted(r["name"] for r in names) == [f"run-1-0a/_segment={i}" for i in range(3)]
+    assert time.monotonic() - started < 20
+
+
+def test_hit_segments_search_no_path(spark, path, monkeypatch):
+    """The rows of stored segments pass no regular expression."""
+    upsert_blocks(batch(spark, [("d1", 1, 1), ("d1", 2, 2)]), path("t"))
+    directory = Directory.load(spark, path("t"))
+    searched = []
+    extract = F.regexp_extract
+    monkeypatch.setattr(F, "regexp_extract", lambda *args: searched.append(args) or extract(*args))
+    rows = batch(spark, [("d1", 2, 3), ("d1", 5, 3)])
+    assert blocks.hit_segments(rows, directory.segments(), path("t"), False) == {s.name for s in directory.segments()}
+    assert not searched
