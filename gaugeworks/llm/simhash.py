@@ -18,12 +18,13 @@ bucket returns is a spanning forest, never all of its pairs.
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import columns, texts
@@ -255,23 +256,40 @@ def links(nodes: DataFrame, seeds: int, blocks: int, radius: int) -> DataFrame:
 
     ``nodes`` has ``id`` and ``print``, each print once.
     """
-    return bucket_forests(nodes.withColumn("keys", block_keys(F.col("print"), seeds, blocks)), seeds, radius)
-
-
-def bucket_forests(nodes: DataFrame, seeds: int, radius: int) -> DataFrame:
-    """Like :func:`links`, for nodes that meet where they share one of their ``keys``."""
-    prints = [F.col("print")[k].alias(f"print{k}") for k in range(seeds)]
-    keyed = nodes.select("id", *prints, F.explode("keys").alias("key"))
+    keyed = nodes.select("id", *_words(seeds), F.explode(block_keys(F.col("print"), seeds, blocks)).alias("key"))
     # Few buckets are large, so this table is small, and Spark broadcasts it if it is.
     large = stage(
         keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > BUCKET_ROWS), "large_buckets"
     )
-    large = large.select("key", F.ceil(F.col("size") / BUCKET_ROWS).cast("int").alias("parts"))
+    keyed = keyed.join(large.select("key", _parts()), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return bucket_forests(keyed, seeds, radius)
+
+
+def _words(seeds: int) -> list[Column]:
+    return [F.col("print")[k].alias(f"print{k}") for k in range(seeds)]
+
+
+def _parts() -> Column:
+    return F.ceil(F.col("size") / BUCKET_ROWS).cast("int").alias("parts")
+
+
+def key_links(nodes: DataFrame, seeds: int, radius: int) -> DataFrame:
+    """Like :func:`links`, for nodes that meet where they share one of their ``keys``.
+
+    Most keys are of one node. Keys and ids alone are shuffled to tell so; prints follow
+    where nodes meet.
+    """
+    met = nodes.select("id", F.explode("keys").alias("key"))
+    met = met.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
+    keyed = met.select("id", "key", _parts()).join(nodes.select("id", *_words(seeds)), "id")
+    return bucket_forests(keyed, seeds, radius)
+
+
+def bucket_forests(keyed: DataFrame, seeds: int, radius: int) -> DataFrame:
+    """Links of all buckets: ``keyed`` has a row for each node and ``key``, and ``parts`` that the bucket is cut into."""
     own = F.pmod(F.xxhash64("id"), "parts").cast("int")
     spread = (
-        keyed.join(large, "key", "left")
-        .withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .withColumn("own", own)
+        keyed.withColumn("own", own)
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
         .select(
             "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
@@ -344,8 +362,8 @@ SHINGLE, LIKE = 5, (4, 5)
 CANDIDATE_RADIUS = 44
 #: A shingle that this many of the sampled documents hold is taken late as a key.
 SAMPLE_DOCS, FREQUENT = 4000, 8
-#: Rows and shingles of a group of candidates that one comparison takes for either side.
-PART_ROWS, PART_SHINGLES = 512, 1 << 21
+#: Rows, shingles and bytes of text of a group of candidates that one comparison takes for either side.
+PART_ROWS, PART_SHINGLES, PART_BYTES = 512, 1 << 21, 1 << 24
 #: Words of 64 bits that mark keys, so that most others need no join. Broadcast, 16 MB at most.
 MARK_SLOTS = 1 << 20
 
@@ -442,7 +460,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``key``, ``doc_id``, ``print`` and ``size`` of the set, and its prefix as ``shingles``."""
+    """``key``, ``doc_id``, ``bytes`` of the text, ``print`` and ``size`` of the set, and its prefix as ``shingles``."""
 
     def compute(batches):
         for keys, ids, values in columns(batches, 200):
@@ -450,27 +468,17 @@ def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             prints = [set_print(x) for x in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(prints, pa.list_(pa.int64())),
-                    pa.array([len(x) for x in sets], pa.int64()), _lists([prefix(x, frequent) for x in sets]),
+                    pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array([len(x) for x in values], pa.int64()),
+                    pa.array(prints, pa.list_(pa.int64())), pa.array([len(x) for x in sets], pa.int64()),
+                    _lists([prefix(x, frequent) for x in sets]),
                 ],
-                ["key", "doc_id", "print", "size", "shingles"],
+                ["key", "doc_id", "bytes", "print", "size", "shingles"],
             )
 
-    schema = "key binary, doc_id long, print array<long>, size long, shingles array<long>"
+    schema = "key binary, doc_id long, bytes long, print array<long>, size long, shingles array<long>"
     return _keyed(docs).mapInArrow(compute, schema)
 
 
-def _sets(rows: DataFrame) -> DataFrame:
-    """``key`` and ``shingles``: the whole set of each text."""
-
-    def compute(batches):
-        for keys, values in columns(batches, 200):
-            sets = _lists([shingle_set(x) for x in values])
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), sets], ["key", "shingles"])
-
-    return rows.select("key", "text").mapInArrow(compute, "key binary, shingles array<long>")
-
-
 def _marks(keys: DataFrame) -> DataFrame:
     """A bit for each key by its hash: at most ``MARK_SLOTS`` rows of two longs, whatever the number of keys."""
     h = F.xxhash64("key")
@@ -493,30 +501,28 @@ def _with_mark(rows: DataFrame, marks: DataFrame) -> DataFrame:
 def _alike_links(docs: DataFrame, members: DataFrame) -> DataFrame:
     """``a`` and ``b``, nodes whose sets are alike: every pair within a component of ``members`` is compared or spanned."""
     sizes = members.groupBy("component").agg(
-        F.greatest(F.ceil(F.count("*") / PART_ROWS), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int").alias("parts")
-    )
+        F.greatest(
+            F.ceil(F.count("*") / PART_ROWS), F.ceil(F.sum("size") / PART_SHINGLES), F.ceil(F.sum("bytes") / PART_BYTES)
+        ).cast("int").alias("parts")
+    )
     # Only texts of candidates leave the scan, and a few more; the join below is exact.
     wanted = _with_mark(_keyed(docs), _marks(members.select("key"))).where("marked")
-    sets = _sets(wanted.dropDuplicates(["key"]))
-    # Both joins meet few rows with like keys: a node each, and a component each.
-    rows = members.drop("size").join(sets.hint("merge"), "key").join(sizes, "component")
+    wanted = wanted.select("key", "text").dropDuplicates(["key"])
+    # Both joins meet few rows with like keys: a component each, and a node each. Texts travel, their sets are larger.
+    rows = members.select("id", "key", "component").join(sizes, "component").join(wanted.hint("merge"), "key")
     rows = (
         rows.withColumn("own", F.pmod(F.xxhash64("id"), "parts").cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
         .select(
             "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-            F.expr("own > other").alias("right"), "id", "shingles",
+            F.expr("own > other").alias("right"), "id", "text",
         )
     )
 
     def compare(group: pa.Table) -> pa.Table:
         ids, right = group.column("id").to_numpy(), group.column("right").to_numpy()
-        shingles = group.column("shingles").combine_chunks()
-        if isinstance(shingles, pa.ChunkedArray):
-            shingles = pa.concat_arrays(shingles.chunks)
-        flat, at = shingles.values.to_numpy(), shingles.offsets.to_numpy()
-        sets = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        pair = np.array(alike(sets, right) if len(ids) > 1 else [], np.int64).reshape(-1, 2)
+        found = alike([shingle_set(x.as_py()) for x in group.column("text")], right) if len(ids) > 1 else []
+        pair = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": ids[pair[:, 0]], "b": ids[pair[:, 1]]})
 
     return rows.groupBy("component", "low", "high").applyInArrow(compare, "a long, b long")
@@ -528,19 +534,23 @@ def _grouped(docs: DataFrame) -> DataFrame:
     Staged; what the steps before it wrote is deleted.
     """
     least = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "key")).alias("least")
-    with staged(_sketches(docs, _frequent(docs)), "prints") as prints:
-        nodes = prints.groupBy("print").agg(least, F.first("size").alias("size"), F.first("shingles").alias("keys"))
-        with staged(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes") as nodes:
-            loose = components(bucket_forests(nodes, 2, CANDIDATE_RADIUS))
-            members = nodes.join(loose, nodes["id"] == loose["node"])
-            with staged(members.select("id", "least.key", "size", "component"), "members") as members:
-                found = components(_alike_links(docs, members))
-                named = nodes.join(found, nodes["id"] == found["node"], "left")
-                named = named.select("print", "least", F.coalesce("component", "id").alias("component"))
-                with staged(named, "named") as named:
-                    first = named.groupBy("component").agg(F.min("least").alias("least"))
-                    named = named.select("print", "component").join(first, "component").select("print", "least")
-                    return stage(prints.select("key", "doc_id", "print").join(named, "print").drop("print"), "grouped")
+    keys = F.first("shingles").alias("keys")
+    with ExitStack() as held:
+        with ExitStack() as brief:  # the sketches, and then the keys, take most of the room
+            with staged(_sketches(docs, _frequent(docs)), "sketches") as sketches:
+                prints = held.enter_context(staged(sketches.select("key", "doc_id", "print"), "prints"))
+                nodes = sketches.groupBy("print").agg(least, F.first("size").alias("size"), F.max("bytes").alias("bytes"), keys)
+                keyed = brief.enter_context(staged(nodes.withColumn("id", F.monotonically_increasing_id()), "keyed"))
+            nodes = held.enter_context(staged(keyed.drop("keys"), "nodes"))
+            loose = components(key_links(keyed, 2, CANDIDATE_RADIUS))
+        members = nodes.join(loose, nodes["id"] == loose["node"]).select("id", "least.key", "size", "bytes", "component")
+        members = held.enter_context(staged(members, "members"))
+        found = components(_alike_links(docs, members))
+        named = nodes.join(found, nodes["id"] == found["node"], "left")
+        named = held.enter_context(staged(named.select("print", "least", F.coalesce("component", "id").alias("component")), "named"))
+        first = named.groupBy("component").agg(F.min("least").alias("least"))
+        named = named.select("print", "component").join(first, "component").select("print", "least")
+        return stage(prints.join(named, "print").drop("print"), "grouped")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:

@@ -1,11 +1,15 @@
 import random
+import time
+from collections import Counter
 
 import numpy as np
 import xxhash
 from plain import awkward, documents, empty, sentence, words
+from pyspark.sql import functions as F
 
 from gaugeworks.llm import simhash
 from gaugeworks.llm.components import components
+from gaugeworks.session import stage
 
 
 def plain_print(text):
@@ -116,6 +120,45 @@ def test_only_rows_that_may_go_are_joined(spark):
     assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == list(range(301))
 
 
+def shuffled_blocks(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {name for k in range(blocks.size()) if (name := blocks.apply(k).name()).startswith("shuffle_")}
+
+
+def test_staging_frees_its_shuffle_files(spark):
+    before = shuffled_blocks(spark)
+    rows = stage(spark.range(5000).groupBy((F.col("id") % 700).alias("k")).agg(F.sum("id").alias("n")), "freed")
+    ends = time.time() + 20
+    while (left := shuffled_blocks(spark) - before) and time.time() < ends:
+        time.sleep(0.2)  # they go in the background
+    assert not left
+    assert rows.agg(F.sum("n")).head()[0] == 5000 * 4999 // 2
+
+
+def test_nodes_meet_where_they_share_a_key(spark, monkeypatch):
+    """Forests over shared keys reach what all near pairs do, also where a bucket is cut into parts."""
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", 32)
+    rng = random.Random(11)
+    rows = []
+    for i in range(400):
+        near = [p ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(4))) for p in (5, 7)] if i % 3 else [rng.getrandbits(63), 1]
+        rows.append((i, near, [*rng.sample(range(300), 2), 1000 + i, *([7777] if i % 2 else [])]))
+    want = []
+    for i, p, k in rows:
+        for j, q, other in rows[:i]:
+            if sum((a ^ b).bit_count() for a, b in zip(p, q)) <= 6 and set(k) & set(other):
+                want.append((i, j))
+    nodes = spark.createDataFrame(rows, "id long, print array<long>, keys array<long>")
+    links = simhash.key_links(nodes, 2, 6)
+    assert {(max(r), min(r)) for r in links.collect()} <= set(want)
+    reach = lambda df: {tuple(r) for r in components(df).select("node", "component").collect()}
+    assert reach(links) == reach(spark.createDataFrame(want, "a long, b long")) and len(want) > 1000
+    # A key of one node goes no further than its bucket: prints are not shuffled with it.
+    plan = simhash.key_links(nodes, 2, 6)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window") :]
+    assert "Generate explode" in below and "print0" not in below.split("Generate explode")[0]
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, k) for k in range(1001, 1200)] + [(5000, 5000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -151,3 +194,16 @@ def test_stage_equals_brute_force_over_word_sets(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in simhash.near_groups(documents(spark, rows)).collect()}
     assert got == dict(enumerate(root))
     assert {r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()} == set(root)
+
+
+def test_many_bytes_of_text_are_compared_in_parts(spark, monkeypatch):
+    """Long texts of few shingles are cut into parts as well, and groups are the same."""
+    rng = random.Random(12)
+    text = sentence(rng, 40)
+    rows = [(i, f"{text} " * 5 + f"end{i}") for i in range(30)] + [(100 + i, sentence(rng, 60)) for i in range(30)]
+    docs = documents(spark, rows)
+    groups = lambda: sorted(map(tuple, simhash.near_groups(docs).collect()))
+    want = groups()
+    assert Counter(c for _, c in want)[0] == 30
+    monkeypatch.setattr(simhash, "PART_BYTES", 2_000)
+    assert groups() == want
