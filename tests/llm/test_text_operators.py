@@ -400,3 +400,53 @@ def test_tokens_of_a_batch_are_those_of_each_text():
         assert starts.tolist() == [sum(map(len, want[:i])) for i in range(len(want))]
         numbers = scoring._documents(pa.array(chosen, pa.string()), scoring._numbering([b"x", b"", b"b"]))
         assert [d.tolist() for d in numbers] == [[{"x": 0, "": 1, "b": 2}.get(w, 3) for w in d] for d in want]
+
+
+def numbered(spark, docs):
+    words = scoring.vocabulary(scoring.counts(docs), scoring.VOCABULARY).words
+    return words, scoring._numbered(docs, words)
+
+
+def test_words_are_grouped_by_all_documents(spark):
+    """Also words of the last of many documents, of one without an id, and of a long one have their language's group."""
+    rng = random.Random(13)
+    common = [[f"{x}{k}" for k in range(20)] for x in "xy"]
+    text = lambda i, n, *more: " ".join([*rng.choices(common[i % 2], k=n), *more])
+    rows = [(i, text(i, 30, f"own{i % 2}{i // 100}")) for i in range(2600)]
+    rows += [(None, text(0, 30, "noid")), (None, text(0, 30, "noid")), (9000, text(1, 150_000, "long", "long"))]
+    words, every = numbered(spark, documents(spark, rows))
+    group = dict(zip(words, scoring._word_groups(every, len(words), 2)))
+    assert {group[f"x{k}".encode()] for k in range(20)} == {group[b"x0"]} != {group[b"y0"]}
+    assert {group[f"own0{k}".encode()] for k in range(26)} | {group[b"noid"]} == {group[b"x0"]}
+    assert {group[f"own1{k}".encode()] for k in range(26)} | {group[b"long"]} == {group[b"y0"]}
+
+
+def test_places_of_words_are_those_of_their_documents(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "MARKS", 12)
+    rng = random.Random(14)
+    rows = [(i, sentence(rng, rng.randrange(1, 60))) for i in range(300)] + [(300, None), (None, "a b c")]
+    docs = documents(spark, rows)
+    words, every = numbered(spark, docs)
+    number = {w.decode(): k for k, w in enumerate(words)}
+    own = [[number[w] for w in scoring.tokens(t or "")] for _, t in rows]
+    x = np.sqrt([[d.count(k) for k in range(12)] for d in own])
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-6)
+    x -= x.mean(0)
+    _, axes = np.linalg.eigh(x.T @ x)
+    x = x @ axes[:, -scoring.AXES :]
+    want = np.array([sum(x[i] for i, d in enumerate(own) if k in d) for k in range(len(words))])
+    got, seen = scoring._places(every, len(words))
+    assert seen.tolist() == [sum(k in d for d in own) for k in range(len(words))]
+    assert np.abs(got) == pytest.approx(np.abs(want), abs=2e-2)  # an axis may point either way
+    again, _ = scoring._places(scoring._numbered(docs.repartition(7), words), len(words))
+    assert (again == got).all()
+
+
+def test_streams_hold_every_word():
+    _, layout, _, _ = small_model()
+    documents = [np.arange(5), np.arange(100, 170), np.arange(200, 228)]
+    inputs, words, begins = gru.streams(documents, layout, 4)
+    assert words.shape == (4, 26) and words.ravel().tolist() == [*np.concatenate(documents), 0]
+    assert np.nonzero(begins.ravel())[0].tolist() == [0, 5, 75, 103]
+    assert inputs.ravel()[[0, 5, 75, 103]].tolist() == [layout.start] * 4
+    assert (inputs.ravel()[1:5] == layout.inputs[:4]).all()
