@@ -363,7 +363,7 @@ CANDIDATE_RADIUS = 44
 #: A shingle that this many of the sampled documents hold is taken late as a key.
 SAMPLE_DOCS, FREQUENT = 4000, 8
 #: Rows, shingles and bytes of text of a group of candidates that one comparison takes for either side.
-PART_ROWS, PART_SHINGLES, PART_BYTES = 512, 1 << 21, 1 << 24
+PART_ROWS, PART_SHINGLES, PART_BYTES = 4096, 1 << 21, 1 << 24
 #: Words of 64 bits that mark keys, so that most others need no join. Broadcast, 16 MB at most.
 MARK_SLOTS = 1 << 20
 
